@@ -1 +1,8 @@
 """Spark-native supervised models on labelled tables and recommendations from explicit ratings."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# task functions travel with the job, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

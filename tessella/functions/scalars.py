@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -30,9 +31,15 @@ def total(terms: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, terms)
 
 
-def dot(cols: Sequence[str | Column], weights: Sequence[float]) -> Column:
+def number(v: float) -> str:
+    """A double as SQL text, digit for digit."""
+    v = float(v)
+    return f"{v!r}D" if math.isfinite(v) else f"double('{v}')"
+
+
+def dot(cols: Sequence[str], weights: Sequence[float]) -> Column:
     """Linear score of a row: the sum of column times weight."""
-    return total([_col(c) * F.lit(float(w)) for c, w in zip(cols, weights, strict=True)])
+    return F.expr(" + ".join(f"`{c}` * {number(w)}" for c, w in zip(cols, weights, strict=True)))
 
 
 def sigmoid(z: Column) -> Column:

@@ -49,11 +49,10 @@ def moment_cells(df: DataFrame, cols: Sequence[str], by: str | None = None, weig
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
     keys = [by] if by else []
     if len(pairs) <= NARROW:
-        w = F.col(weight) if weight else F.lit(1.0)
-        wide = df.groupBy(*keys).agg(*[F.sum(F.col(cols[i]) * F.col(cols[j]) * w).alias(f"_{i}_{j}") for i, j in pairs])
-        cell = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"_{i}_{j}").alias("v"))
-                                   for i, j in pairs]))
-        return wide.select(*keys, cell.alias("c")).select(*keys, "c.i", "c.j", "c.v")
+        by_weight = f" * `{weight}`" if weight else ""
+        wide = df.groupBy(*keys).agg(*[F.expr(f"sum(`{cols[i]}` * `{cols[j]}`{by_weight}) AS `_{i}_{j}`") for i, j in pairs])
+        cells = ", ".join(f"struct({i} AS i, {j} AS j, `_{i}_{j}` AS v)" for i, j in pairs)
+        return wide.select(*keys, F.expr(f"inline(array({cells}))"))
 
     data = df.select(*keys, *([weight] if weight else []), *cols)
     key_fields = [f for f in data.schema.fields if f.name in keys]

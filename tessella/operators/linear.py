@@ -94,10 +94,9 @@ def _logistic_pass(df: DataFrame, cols: list[str], y: str, w: np.ndarray,
     z = dot(cols, w)
     if d < WIDE and len(pairs) <= 36:
         scored = df.select(*cols, F.col(y).alias("_y"), z.alias("_z")).withColumn("_s", sigmoid(F.col("_z")))
-        loss = F.sum(F.greatest("_z", F.lit(0.0)) + F.log1p(F.exp(-F.abs("_z"))) - F.col("_y") * F.col("_z"))
-        r, k = F.col("_s") - F.col("_y"), F.col("_s") * (1 - F.col("_s"))
-        row = scored.agg(loss.alias("loss"), *[F.sum(F.col(c) * r).alias(f"g{i}") for i, c in enumerate(cols)],
-                         *[F.sum(F.col(cols[i]) * F.col(cols[j]) * k).alias(f"h{i}_{j}") for i, j in pairs]).first()
+        loss = "sum(greatest(_z, 0.0D) + log1p(exp(-abs(_z))) - _y * _z) AS loss"
+        row = scored.agg(F.expr(loss), *[F.expr(f"sum(`{c}` * (_s - _y)) AS g{i}") for i, c in enumerate(cols)],
+                         *[F.expr(f"sum(`{cols[i]}` * `{cols[j]}` * _s * (1 - _s)) AS h{i}_{j}") for i, j in pairs]).first()
         hess = None
         if curvature:
             hess = np.zeros((d, d))
