@@ -53,7 +53,8 @@ def softplus(z: Column) -> Column:
 
 
 def clip(c: Column, low: float = RATING_LOW, high: float = RATING_HIGH) -> Column:
-    return F.greatest(F.least(c, F.lit(high)), F.lit(low))
+    """Limited to [low, high]; NULL stays NULL."""
+    return F.when(c > high, F.lit(high)).when(c < low, F.lit(low)).otherwise(c)
 
 
 def star(c: Column) -> Column:

@@ -102,7 +102,7 @@ def moments(df: DataFrame, cols: Sequence[str], y: str, by: str | None = None) -
         key = r[by] if by else None
         m = out.setdefault(key, np.zeros((d + 2, d + 2)))
         m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["v"] or 0.0
-    return {k: Moments(m[d + 1, d + 1], m[:d, :d], m[:d, d], m[d, d]) for k, m in out.items()}
+    return {k: Moments(float(m[d + 1, d + 1]), m[:d, :d], m[:d, d], float(m[d, d])) for k, m in out.items()}
 
 
 def solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
