@@ -313,7 +313,7 @@ def _sum_systems(key: str, rank: int, names: list[str], wide: list[str], reg: fl
             sums, heads = np.add.reduceat(terms, starts, axis=0), ids[starts]
             if held is not None:
                 if heads[0] == held_id:
-                    sums[0] += held
+                    sums[0] += held[0]
                 else:
                     sums, heads = np.vstack([held, sums]), np.r_[held_id, heads]
             # the last key may go on in the next batch
