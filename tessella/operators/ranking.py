@@ -11,6 +11,7 @@ import bisect
 from collections.abc import Sequence
 from itertools import accumulate
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from ..functions.scalars import digest
 from ..session import cut_lineage
 
-HEX = 4  # hex digits read per counting pass: at most 65,536 counts come back
+HEX = 3  # hex digits read per counting pass: at most 4,096 counts come back
+MANY = 1_000_000_000  # rows from which a rank uses one more digit, so that a bucket stays sortable
 SMALL = 20_000  # values fetched to settle the last step of a selection; checked by count first
 
 
@@ -65,12 +67,17 @@ def hash_thresholds(df: DataFrame, key: str, seed: int, positions: Sequence[int]
 
 
 def hash_rank(df: DataFrame, key: str, seed: int, rank: str = "rank", below: int | None = None,
-              only: Sequence[int] | None = None, width: int = HEX) -> DataFrame:
+              only: Sequence[int] | None = None) -> DataFrame:
     """0-based rank of each row in hash order; ``below`` or ``only`` keep the ranks asked for.
 
     Buckets with no wanted rank are filtered out before the shuffle.
     """
-    counts = _bucket_counts(df.select(digest(seed, key).alias("h")), F.col("h"), width)
+    width = HEX
+    keys = df.select(digest(seed, key).alias("h"))
+    counts = _bucket_counts(keys, F.col("h"), width)
+    if sum(n for _, n in counts) > MANY:
+        width = HEX + 1
+        counts = _bucket_counts(keys, F.col("h"), width)
     starts = [0, *accumulate(n for _, n in counts)]
     chosen = range(len(counts))
     if only is not None:
@@ -132,56 +139,80 @@ def sorted_rank(df: DataFrame, order: Sequence[Column], rank: str = "rank") -> D
 def exact_medians(df: DataFrame, cols: Sequence[str], cells: int = 1024) -> dict[str, float | None]:
     """Median of the non-null values of every column at once: the mean of the middle two.
 
-    The built-in ``median`` gathers all distinct values of a column in one task. Here each pass
-    counts values per cell of the interval known to hold the wanted rank and narrows it; values are
-    fetched only when the cells left hold few rows.
+    The built-in ``median`` gathers all distinct values of a column in one task. Here a sketch
+    proposes an interval around the middle, counts prove which side of it each wanted rank is on, and
+    passes that count values per cell narrow it; values are fetched only when few rows are left.
     """
-    first = df.agg(*[f(F.col(c)).alias(f"{c}_{name}") for c in cols
-                     for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    held = df.select(*cols) if df.is_cached else df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _medians(held, list(cols), cells)
+    finally:
+        if held is not df and not df.is_cached:
+            held.unpersist()
+
+
+def _medians(df: DataFrame, cols: list[str], cells: int) -> dict[str, float | None]:
+    near = "percentile_approx(`{c}`, array(0.49D, 0.51D), 200) AS `{c}_near`"
+    first = df.agg(*[F.expr(e.format(c=c)) for c in cols for e in (
+        "count(`{c}`) AS `{c}_n`", "min(`{c}`) AS `{c}_lo`", "max(`{c}`) AS `{c}_hi`", near)]).first()
+    some = [c for c in cols if first[f"{c}_n"]]
+    if not some:
+        return dict.fromkeys(cols)
+    sides = []
+    for c in some:
+        lo, hi = first[f"{c}_near"]
+        sides += [F.count_if(F.col(c) < lo).alias(f"{c}_below"), F.count_if(F.col(c).between(lo, hi)).alias(f"{c}_in"),
+                  F.max(F.when(F.col(c) < lo, F.col(c))).alias(f"{c}_last"),
+                  F.min(F.when(F.col(c) > hi, F.col(c))).alias(f"{c}_next")]
+    proof = df.agg(*sides).first()
+    out: dict[str, list[float]] = {c: [] for c in cols}
     targets: list[dict] = []
-    out: dict[str, list[float]] = {}
-    for c in cols:
-        n, lo, hi = (first[f"{c}_{s}"] for s in ("n", "lo", "hi"))
-        out[c] = []
-        if n:
-            for r in sorted({(n - 1) // 2, n // 2}):
-                targets.append({"c": c, "rank": r, "lo": lo, "hi": hi, "n": n})
-    while targets:
-        for t in [t for t in targets if t["lo"] == t["hi"]]:
-            out[t["c"]].append(t["lo"])
-            targets.remove(t)
+    for c in some:
+        n, (lo, hi) = first[f"{c}_n"], first[f"{c}_near"]
+        below, inside = proof[f"{c}_below"], proof[f"{c}_in"]
+        for r in ((n - 1) // 2, n // 2):
+            if r < below:
+                t = {"rank": r, "lo": first[f"{c}_lo"], "hi": proof[f"{c}_last"], "n": below}
+            elif r < below + inside:
+                t = {"rank": r - below, "lo": lo, "hi": hi, "n": inside}
+            else:
+                t = {"rank": r - below - inside, "lo": proof[f"{c}_next"], "hi": first[f"{c}_hi"], "n": n - below - inside}
+            targets.append({"c": c, **t})
+    while True:
+        for t in targets:
+            if t["lo"] == t["hi"]:
+                out[t["c"]].append(t["lo"])
+        targets = [t for t in targets if t["lo"] != t["hi"]]
         if not targets:
             break
-        if sum(t["n"] for t in targets) <= SMALL:
-            values = _tagged(df, targets, None).groupBy("t").agg(F.sort_array(F.collect_list("v")).alias("vs"))
-            for r in values.collect():
-                t = targets[r["t"]]
-                out[t["c"]].append(r["vs"][t["rank"]])
+        spans = list({(t["c"], t["lo"], t["hi"]): t["n"] for t in targets}.items())
+        if sum(n for _, n in spans) <= SMALL:
+            lists = _tagged(df, [s for s, _ in spans], 1).groupBy("t").agg(F.sort_array(F.collect_list("v")).alias("vs"))
+            got = {spans[r["t"]][0]: r["vs"] for r in lists.collect()}
+            for t in targets:
+                out[t["c"]].append(got[t["c"], t["lo"], t["hi"]][t["rank"]])
             break
-        seen: dict[int, list] = {}
-        stats = _tagged(df, targets, cells).groupBy("t", "cell").agg(
+        seen: dict[tuple, list] = {}
+        stats = _tagged(df, [s for s, _ in spans], cells).groupBy("t", "cell").agg(
             F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-        for r in stats.collect():  # at most targets x cells rows
-            seen.setdefault(r["t"], []).append(r)
-        for i, t in enumerate(targets):
-            for r in sorted(seen[i], key=lambda r: r["cell"]):
+        for r in stats.collect():  # at most spans x cells rows
+            seen.setdefault(spans[r["t"]][0], []).append(r)
+        for t in targets:
+            for r in sorted(seen[t["c"], t["lo"], t["hi"]], key=lambda r: r["cell"]):
                 if t["rank"] < r["n"]:
                     t.update(lo=r["lo"], hi=r["hi"], n=r["n"])
                     break
                 t["rank"] -= r["n"]
-    return {c: sum(v) / len(v) if v else None for c, v in
-            ((c, vs * 2 if len(vs) == 1 else vs) for c, vs in out.items())}
+    return {c: sum(v) / 2 if v else None for c, v in out.items()}
 
 
-def _tagged(df: DataFrame, targets: list[dict], cells: int | None) -> DataFrame:
-    """One row per (target, value inside its interval), with the value's cell when asked."""
+def _tagged(df: DataFrame, spans: list[tuple], cells: int) -> DataFrame:
+    """One row per (span, value inside it), with the value's cell of the span."""
     fields = []
-    for i, t in enumerate(targets):
-        v = F.col(t["c"])
-        inside = v.between(t["lo"], t["hi"])
-        # halved before subtracting: an interval wider than the largest double must not overflow
-        place = ((v / 2 - t["lo"] / 2) / F.lit(t["hi"] / 2 - t["lo"] / 2)) * F.lit(float(cells or 1))
-        cell = F.least(F.floor(place), F.lit((cells or 1) - 1))
-        fields.append(F.when(inside, F.struct(F.lit(i).alias("t"), v.alias("v"), cell.alias("cell"))))
-    rows = df.select(F.explode(F.array_compact(F.array(*fields))).alias("s"))
-    return rows.select("s.*")
+    for i, (c, lo, hi) in enumerate(spans):
+        v = F.col(c)
+        # halved before subtracting: a span wider than the largest double must not overflow
+        place = (v / 2 - lo / 2) / F.lit(hi / 2 - lo / 2) * F.lit(float(cells))
+        cell = F.least(F.floor(place), F.lit(cells - 1))
+        fields.append(F.when(v.between(lo, hi), F.struct(F.lit(i).alias("t"), v.alias("v"), cell.alias("cell"))))
+    return df.select(F.explode(F.array_compact(F.array(*fields))).alias("s")).select("s.*")

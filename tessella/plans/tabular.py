@@ -100,9 +100,10 @@ class Experiment:
         return ~F.col("_part") if self.folds is None else F.col("_part") == i
 
     def run(self, train: DataFrame) -> Outcome:
-        self.prep.fit(train)
+        raw = train.select("id", "label", *self.prep.cols).persist(StorageLevel.MEMORY_AND_DISK)
+        self.prep.fit(raw)
         cols = self.prep.out
-        rows = self.prep.transform(train).withColumn("y", encode_label(logistic=self.logistic)).select("id", "y", *cols)
+        rows = self.prep.transform(raw).withColumn("y", encode_label(logistic=self.logistic)).select("id", "y", *cols)
         rows = split_exact(rows, self.ratio, self.seed, mark="_part") if self.folds is None else \
             fold_exact(rows, self.folds, self.seed, mark="_part")
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -110,6 +111,7 @@ class Experiment:
             return self._search(rows, cols)
         finally:
             rows.unpersist()
+            raw.unpersist()
 
     def _search(self, rows: DataFrame, cols: list[str]) -> Outcome:
         by = moments(rows, cols, "y", by="_part")  # one pass serves the warm start, every part and every setting
