@@ -32,7 +32,8 @@ class Moments:
 
     def sse(self, w: np.ndarray) -> float:
         """Sum of squared residuals of weights ``w``, without touching the rows again."""
-        return float(max(self.yy - 2 * w @ self.xy + w @ self.xx @ w, 0.0))
+        with np.errstate(over="ignore", invalid="ignore"):  # a diverged model has no finite error
+            return float(max(self.yy - 2 * w @ self.xy + w @ self.xx @ w, 0.0))
 
     def pick(self, idx: Sequence[int]) -> Moments:
         """Moments of a subset of the columns."""

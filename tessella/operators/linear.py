@@ -57,7 +57,8 @@ def descend(m: Moments, cols: Sequence[str], w0: np.ndarray, steps: int, gamma:
     w, loss = np.array(w0, float), float("nan")
     for _ in range(steps):
         loss = m.sse(w) / m.n / 2
-        w = w - gamma * (m.xx @ w - m.xy) / m.n
+        with np.errstate(over="ignore", invalid="ignore"):
+            w = w - gamma * (m.xx @ w - m.xy) / m.n
     return Linear(list(cols), w, loss, steps)
 
 
