@@ -48,10 +48,9 @@ def weighted_accuracy(parts: DataFrame, group: str, split: str, hit: Column, sha
     The nominal share is the divisor, not the split's true size, so the sum may miss 1 by rounding.
     """
     per = parts.groupBy(split, group).agg(F.count(F.lit(1)).alias("n"), F.avg(hit).alias("acc"))
-    n_all = per.agg(F.sum("n").alias("n_all"))  # one row
+    n_all = parts.count()
     share = F.create_map(*[F.lit(v) for kv in shares.items() for v in kv])[F.col(split)]
-    return (per.crossJoin(F.broadcast(n_all))
-            .groupBy(split).agg(F.sum(F.col("n") / (F.col("n_all") * share) * F.col("acc")).alias(out)))
+    return per.groupBy(split).agg(F.sum(F.col("n") / (F.lit(n_all) * share) * F.col("acc")).alias(out))
 
 
 def squared_gradient(df: DataFrame, cols: Sequence[str], y: str, w: Sequence[float]) -> np.ndarray:

@@ -21,6 +21,9 @@ from ..session import cut_lineage
 
 HEX = 3  # hex digits read per counting pass: at most 4,096 counts come back
 MANY = 1_000_000_000  # rows from which a rank uses one more digit, so that a bucket stays sortable
+HOT_ROWS = 1_000_000  # rows of a group that one task still orders with ease
+HOT_SHARE = 16_384  # a hot group also holds more than 1/16,384 of all rows: at most so many can
+PIECES = 4096  # hash ranges a hot group is ordered in
 SMALL = 20_000  # values fetched to settle the last step of a selection; checked by count first
 
 
@@ -97,25 +100,41 @@ def hash_rank(df: DataFrame, key: str, seed: int, rank: str = "rank", below: int
     return out if below is None else out.where(F.col(rank) < below)
 
 
-def grouped_hash_rank(df: DataFrame, by: str, key: str, seed: int, rank: str = "rank", size: str = "size",
-                      buckets: int = 16) -> DataFrame:
+def hot_groups(df: DataFrame, by: str) -> DataFrame | None:
+    """The groups too large for one task to order, or None; at most ``HOT_SHARE`` rows.
+
+    A table of fewer rows than ``HOT_ROWS`` has none, and no group of it is counted.
+    """
+    n = df.count()
+    if n <= HOT_ROWS:
+        return None
+    hot = df.groupBy(by).count().where(F.col("count") > max(n // HOT_SHARE, HOT_ROWS)).select(by).collect()
+    if not hot:
+        return None
+    return df.sparkSession.createDataFrame(hot, df.select(by).schema).withColumn("_hot", F.lit(True))
+
+
+def grouped_hash_rank(df: DataFrame, by: str, key: str, seed: int, rank: str = "rank", size: str = "size") -> DataFrame:
     """0-based rank of each row within its group in hash order, and the group's size.
 
-    A group is ordered in ``buckets`` pieces, so that one huge group is the work of many tasks; the
-    pieces are stitched together by a running count over at most ``buckets`` rows per group.
+    Ordinary groups are one window. A hot group is ordered in ``PIECES`` hash ranges, each the work
+    of a task of its own, and the pieces are stitched together by a running count of their sizes.
     """
-    h = digest(seed, by, key)
-    piece = F.conv(F.substring(h, 1, 2), 16, 10).cast("int") * buckets / 256
-    marked = df.withColumn("_h", h).withColumn("_piece", F.floor(piece).cast("int"))
-    running = W.partitionBy(by).orderBy("_piece")
+    marked = df.withColumn("_h", digest(seed, by, key))
+    hot = hot_groups(df, by)
+    if hot is None:
+        group = W.partitionBy(by)
+        return marked.withColumns({rank: F.row_number().over(group.orderBy("_h", key)).cast("bigint") - 1,
+                                   size: F.count(F.lit(1)).over(group)}).drop("_h")
+    piece = F.conv(F.substring("_h", 1, 3), 16, 10).cast("int")
+    marked = marked.join(F.broadcast(hot), by, "left").withColumn(
+        "_piece", F.when(F.col("_hot"), F.pmod(piece * PIECES / 4096, F.lit(PIECES)).cast("int")).otherwise(F.lit(0))).drop("_hot")
     starts = (marked.groupBy(by, "_piece").agg(F.count(F.lit(1)).alias("_n"))
-              .select(by, "_piece", (F.sum("_n").over(running) - F.col("_n")).alias("_start"),
+              .select(by, "_piece", (F.sum("_n").over(W.partitionBy(by).orderBy("_piece")) - F.col("_n")).alias("_start"),
                       F.sum("_n").over(W.partitionBy(by)).alias(size)))
     within = F.row_number().over(W.partitionBy(by, "_piece").orderBy("_h", key))
-    ranked = marked.withColumn("_pos", within)
-    return (ranked.join(starts, [by, "_piece"])
-            .withColumn(rank, F.col("_start") + F.col("_pos") - 1)
-            .drop("_h", "_piece", "_pos", "_start"))
+    return (marked.withColumn("_pos", within).join(starts, [by, "_piece"])
+            .withColumn(rank, F.col("_start") + F.col("_pos") - 1).drop("_h", "_piece", "_pos", "_start"))
 
 
 def sorted_rank(df: DataFrame, order: Sequence[Column], rank: str = "rank") -> DataFrame:

@@ -14,11 +14,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BLOCK = 512  # entities per block
 CHUNK = 4096  # ids of the other axis per chunk
+MAX_TASKS = 20_000  # tiles are dealt to one task each up to this many
+TILE = ("g", "chunk", "a", "b")
 
 
 @dataclass(frozen=True)
@@ -46,6 +49,12 @@ class Grid:
         return F.explode(F.sequence(F.lit(0), F.lit(self.chunks - 1)))
 
 
+def _deal(tiled: DataFrame, tiles: int) -> GroupedData:
+    """Groups of one tile each, spread by number: work in a tile is not in proportion to its bytes,
+    so the runtime must not merge small ones into one task."""
+    return tiled.repartition(min(tiles, MAX_TASKS), *TILE).groupBy(*TILE)
+
+
 def _dense(e: np.ndarray, o: np.ndarray, v: np.ndarray, es: np.ndarray, os: np.ndarray) -> np.ndarray:
     m = np.zeros((len(es), len(os)))
     m[np.searchsorted(es, e), np.searchsorted(os, o)] = v
@@ -99,7 +108,8 @@ def pair_moments(ratings: DataFrame, entity: str, other: str, value: str, *, by:
              .select("g", "e", "o", "x", "blk", "chunk", F.least("blk", p).alias("a"), F.greatest("blk", p).alias("b")))
     ids = "i INT, j INT" if dict(ratings.dtypes)[entity] == "int" else "i BIGINT, j BIGINT"
     schema = f"g INT, {ids}, " + ", ".join(f"{k} DOUBLE" for k in wanted)
-    part = tiled.groupBy("g", "chunk", "a", "b").applyInPandas(lambda pdf: _tile_moments(pdf, wanted), schema)
+    tiles = grid.blocks * (grid.blocks + 1) // 2 * grid.chunks
+    part = _deal(tiled, tiles).applyInPandas(lambda pdf: _tile_moments(pdf, wanted), schema)
     if grid.chunks > 1:
         part = part.groupBy("g", "i", "j").agg(*[F.sum(k).alias(k) for k in wanted])
     return part.withColumnRenamed("g", by) if by else part.drop("g")
@@ -196,7 +206,7 @@ def neighbour_sums(pairs: DataFrame, cells: DataFrame, links: DataFrame, entity:
     """
     tiles = _scoring_tiles(pairs, cells, links, entity, other, value, grid, by)
     ids = _ids(pairs, entity, other)
-    got = tiles.groupBy("g", "chunk", "a", "b").applyInPandas(
+    got = _deal(tiles, grid.blocks ** 2 * grid.chunks).applyInPandas(
         _tile_sums, f"g INT, {ids}, num DOUBLE, den DOUBLE, cnt BIGINT")
     if grid.blocks > 1:
         got = got.groupBy("g", "e", "o").agg(*[F.sum(c).alias(c) for c in ("num", "den", "cnt")])
@@ -212,9 +222,8 @@ def neighbour_top(pairs: DataFrame, cells: DataFrame, links: DataFrame, entity:
     tiles = _scoring_tiles(pairs, cells, links, entity, other, value, grid, by)
     ids = _ids(pairs, entity, other)
     nb = "nb INT" if dict(pairs.dtypes)[entity] == "int" else "nb BIGINT"
-    got = tiles.groupBy("g", "chunk", "a", "b").applyInPandas(
+    got = _deal(tiles, grid.blocks ** 2 * grid.chunks).applyInPandas(
         lambda pdf: _tile_top(pdf, k), f"g INT, {ids}, {nb}, w DOUBLE, x DOUBLE")
-    from pyspark.sql import Window as W
     place = F.row_number().over(W.partitionBy("g", "e", "o").orderBy(F.col("w").desc(), "nb"))
     return _named(got.withColumn("place", place).where(F.col("place") <= k), entity, other, by)
 

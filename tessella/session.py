@@ -21,6 +21,7 @@ def local_session(cores: str = "*", app: str = "tessella", **conf: str) -> Spark
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # no stack capture per column expression: plans with many columns build much faster
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -31,10 +31,14 @@ def test_hash_rank_is_a_permutation_and_keeps_only_what_is_asked(spark):
     assert rk.hash_rank(spark.range(300), "id", 1, below=0).count() == 0
 
 
-def test_grouped_rank_of_a_hot_group(spark):
+@pytest.mark.parametrize("hot_rows", [50, 1_000_000])
+def test_grouped_rank_of_a_hot_group(spark, monkeypatch, hot_rows):
     # one user holds most of the rows
+    monkeypatch.setattr(rk, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(rk, "PIECES", 32)
     rows = spark.range(2000).select(F.when(F.col("id") < 1900, 0).otherwise(F.col("id") % 5).alias("user"), F.col("id").alias("item"))
     got = rk.grouped_hash_rank(rows, "user", "item", 3).toPandas()
+    assert len(got) == 2000
     for _, g in got.groupby("user"):
         assert sorted(g["rank"]) == list(range(len(g)))
         assert (g["size"] == len(g)).all()
