@@ -55,12 +55,13 @@ def predict_labels_logistic(spark, sf):
     return scored(spark, sf).select("id", fn.class_label(fn.sigmoid(F.col("z")), logistic=True).alias("label"))
 
 
+# a feature has seven decimals and its square fourteen: neither is cut at a half by these digits
 def _powers(cols, degree, step=1):
-    return [f"{k.r9(f'pow({c}, {p})')} as {c}_p{p}" for c in cols for p in range(1, degree + 1, step)]
+    return [f"{(k.r9 if p == 1 else k.r6)(f'pow({c}, {p})')} as {c}_p{p}" for c in cols for p in range(1, degree + 1, step)]
 
 
 def _show(df, cols):
-    return df.select("id", *[r9(F.col(c)).alias(c) for c in cols])
+    return df.select("id", *[(r6 if c[-2:] in ("p2", "p3", "p4") else r9)(F.col(c)).alias(c) for c in cols])
 
 
 @query(k.sql(f"select id, 1.0::double as bias, {', '.join(_powers(['f0', 'f1', 'f4'], 3))} from nf", k.FEATURES, k.NULLED))
