@@ -21,6 +21,7 @@ from .lookup import HOT_SHARE, SPREAD, Held
 from .means import Recommender, global_mean
 
 USER, ITEM = 0, 1
+ROWS_PER_TASK, MAX_TASKS = 1_000_000, 100_000
 
 
 def _f(prefix: str, rank: int) -> list[str]:
@@ -208,6 +209,9 @@ class WeightedAls(Recommender):
     def fit(self, ratings: DataFrame) -> WeightedAls:
         ratings = ratings.select("user", "item", "rating")
         total_n = ratings.count()
+        # the layout's width follows the data, not the session's shuffle setting
+        parallel = ratings.sparkSession.sparkContext.defaultParallelism
+        self.tasks = min(MAX_TASKS, max(parallel, total_n // ROWS_PER_TASK))
         users, items = init_factors(ratings, self.rank, self.seed)
         users, items = cut_lineage(users), cut_lineage(items)
         self.n_users, self.n_items = users.count(), items.count()
@@ -236,7 +240,8 @@ class WeightedAls(Recommender):
         if split:
             share = F.when(F.col("_hot"), F.pmod(F.xxhash64(other), F.lit(SPREAD))).otherwise(F.lit(0))
             ratings = ratings.join(F.broadcast(hot), key, "left").withColumn("_share", share).drop("_hot")
-        dealt = ratings.repartition(key, "_share").drop("_share") if split else ratings.repartition(key)
+        keys = [key, "_share"] if split else [key]
+        dealt = ratings.repartition(self.tasks, *keys).drop("_share")
         return dealt.sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK), split
 
     def _half_step(self, layout: tuple[DataFrame, bool], key: str, other: str, factors: DataFrame, rows_n: int,
@@ -248,9 +253,8 @@ class WeightedAls(Recommender):
         width = 24 + 8 * rank
         joined = fixed.join_to(rows, other, "inner", row_bytes=width)
         if not _is_small(rows_n, width):  # a shuffled join loses the layout
-            joined = joined.repartition(key).sortWithinPartitions(key) if not split else \
-                joined.repartition(key, F.pmod(F.xxhash64(other), F.lit(SPREAD))).sortWithinPartitions(key)
-            split = True
+            deal = [key, F.pmod(F.xxhash64(other), F.lit(SPREAD))] if split else [key]
+            joined = joined.repartition(self.tasks, *deal).sortWithinPartitions(key)
         wide = [f"s{c}" for c in range(rank * (rank + 1) // 2 + rank + 2)]
         kind = dict(rows.dtypes)[key]
         out_schema = f"{key} {kind}, n BIGINT, sse DOUBLE, " + ", ".join(f"{n} DOUBLE" for n in names)

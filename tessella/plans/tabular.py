@@ -10,12 +10,13 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import class_label, dot, sigmoid
+from ..functions.scalars import class_label, digest, dot, sigmoid
 from ..operators import features as ft
 from ..operators import linear as lm
 from ..operators import tuning
 from ..operators.gram import Moments, moments
-from ..operators.ranking import exact_medians
+from ..operators.metrics import log_loss, penalty, weighted_accuracy
+from ..operators.ranking import exact_medians, hash_thresholds
 from ..operators.splits import fold_exact, split_exact
 from ..sources.features import encode_label, submission
 
@@ -154,7 +155,6 @@ class Experiment:
 
     def _cost(self, rows: DataFrame, m: Moments, w: np.ndarray, c: Mapping) -> float:
         if self.logistic:
-            from ..operators.metrics import log_loss, penalty
             loss = rows.agg(log_loss(F.col("y"), dot(self.prep.out, w))).first()[0]
             return loss + (penalty(w, c["lam"]) if self.family == "logistic_l2" else 0.0)
         return lm.rmse_of(m, w) if self.family == "ridge" else m.sse(w) / m.n / 2
@@ -217,15 +217,14 @@ class SegmentedRidge:
 
     def fit(self, df: DataFrame) -> SegmentedRidge:
         wide = self._wide(df).withColumn("y", encode_label())
-        keyed = wide.select("id", "_seg")
-        from ..functions.scalars import digest
-        from ..operators.ranking import hash_thresholds
-        limits = {}
-        for s in self.plans:
-            mine = keyed.where(F.col("_seg") == s)
-            limits[s] = hash_thresholds(mine, "id", self.seed, [int(np.floor(self.ratio * mine.count()))])[0]
+        keyed = wide.select("id", "_seg").persist(StorageLevel.MEMORY_AND_DISK)
+        sizes = {r["_seg"]: r["count"] for r in keyed.groupBy("_seg").count().collect()}
+        limits = {s: hash_thresholds(keyed.where(F.col("_seg") == s), "id", self.seed, [int(np.floor(self.ratio * n))])[0]
+                  for s, n in sizes.items() if s in self.plans}
+        keyed.unpersist()
         limit = F.create_map(*[F.lit(v) for kv in limits.items() for v in kv])[F.col("_seg")]
-        self.rows = wide.withColumn("is_train", digest(self.seed, "id") < limit)
+        # read by the fit and by every score of it
+        self.rows = wide.withColumn("is_train", digest(self.seed, "id") < limit).persist(StorageLevel.MEMORY_AND_DISK)
         by = moments(self.rows.where("is_train"), self.all_cols, "y", by="_seg")
         self.models = {}
         for s, p in self.plans.items():
@@ -247,7 +246,6 @@ class SegmentedRidge:
             F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"))
 
     def overall(self) -> DataFrame:
-        from ..operators.metrics import weighted_accuracy
         hit = F.when(F.col("y") == self.label(), 1.0).otherwise(0.0)
         return weighted_accuracy(self.rows, "_seg", "is_train", hit, {True: self.ratio, False: 1 - self.ratio})
 

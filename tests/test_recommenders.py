@@ -149,9 +149,10 @@ def _als_reference(pdf, rank, sweeps, lu, li, seed=988):
     return p, q, errors
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_weighted_als_at_full_rank(spark, skewed, monkeypatch, hot):
+@pytest.mark.parametrize("hot,small", [(False, True), (True, True), (True, False)])
+def test_weighted_als_at_full_rank(spark, skewed, monkeypatch, hot, small):
     train, pdf = skewed
+    monkeypatch.setattr(factors, "_is_small", lambda *_: small)  # too large to broadcast: lay out after the join
     if hot:  # deal the busy user and the popular item to several tasks
         monkeypatch.setattr(factors, "HOT_SHARE", 20)
         monkeypatch.setattr(WeightedAls, "_layout", _eager_layout(WeightedAls._layout))
