@@ -61,3 +61,49 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("""
+with low as (
+  select doc_id as id, 'd' as kind, text from documents union all select item_id, 'i', text from benchmark),
+w as (
+  select id, kind, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as words from low),
+i as (
+  select id, words, least(10, len(words))::bigint as width from w where kind = 'i' and len(words) > 0),
+iw as (
+  select id, width, words, unnest(range(1, len(words)::bigint - width + 2)) as p0 from i),
+win as (
+  select distinct id as item_id, width, array_to_string(list_slice(words, p0, p0 + width - 1), ' ') as win from iw),
+d as (
+  select id, words, width from w, (select distinct width from i) where kind = 'd' and len(words) >= width),
+dw as (
+  select id, width, words, unnest(range(1, len(words)::bigint - width + 2)) as p0 from d),
+hits as (
+  select dw.id as doc_id, p0, dw.width, item_id
+  from dw join win on dw.width = win.width and array_to_string(list_slice(words, p0, p0 + dw.width - 1), ' ') = win),
+cover as (
+  select doc_id, count(distinct pos)::bigint as n_hit from (
+    select doc_id, unnest(range(p0, p0 + width)) as pos from hits) group by 1),
+items as (
+  select doc_id, count(*)::bigint as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as names
+  from (select distinct doc_id, item_id from hits) group by 1)
+select id as doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from w left join cover on cover.doc_id = w.id left join items on items.doc_id = w.id where kind = 'd'
+""")
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm.suffixes import match_documents
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return match_documents(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
