@@ -107,3 +107,24 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return match_documents(docs, table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+@query()
+def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tessella.llm.bpe import encode_decode
+
+    return encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query()
+def op9_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tessella.llm.rans import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
