@@ -152,8 +152,14 @@ class Encoder:
                 ids += self.piece(piece)
         return ids
 
-    def words(self, texts: list[str]) -> list[list[int]]:
-        return [self.word(t) for t in texts]
+    def lines(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that each end in a line break, and how many each has."""
+        ids: list[int] = []
+        ends = []
+        for word in text.split("\n")[:-1]:
+            ids += self.word(word)
+            ends.append(len(ids))
+        return np.array(ids, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
 
 
 class Decoder:
@@ -182,7 +188,7 @@ class Decoder:
 @lru_cache(maxsize=2)
 def _coder(path: str) -> tuple[Encoder, Decoder, WordEncoder]:
     encoder = Encoder(path)
-    return encoder, Decoder(encoder.vocabulary), WordEncoder(encoder.words)
+    return encoder, Decoder(encoder.vocabulary), WordEncoder(encoder.lines)
 
 
 def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -27,6 +27,7 @@ SCALE = 20          # frequencies are multiples of 2**-SCALE
 LANES = 1024        # interleaved coders of a block
 BLOCK_IDS = 1 << 18  # a block ends with the document that reaches so many ids
 PART_BYTES = 32 << 20  # text of one sorted part
+RUN = 2000          # words that the library encodes in one call
 LOW = np.uint64(1 << 31)
 BLOCKS = ("part int, block int, first long, n long, docs binary, lengths binary, states binary, words binary, "
           "checksum long")
@@ -99,14 +100,44 @@ class Coder:
 
 @lru_cache(maxsize=2)
 def library_encoder(path: str) -> WordEncoder:
-    """Ids by the tokenizers library, a word at a time: for vocabularies that drop white space."""
+    """Ids by the tokenizers library, for vocabularies that drop white space and split letters from signs."""
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return WordEncoder(lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def encode(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    mark = encode("!")
+
+    def lines(text: str) -> tuple[np.ndarray, np.ndarray]:
+        # words in runs, told apart by a lone mark; words that hold the mark go one by one
+        words = text.split("\n")[:-1]
+        plain = [k for k, w in enumerate(words) if "!" not in w]
+        size = np.zeros(len(words), np.int64)
+        parts: list[np.ndarray | None] = [None] * len(words) if len(plain) < len(words) else []
+        runs = []
+        for k in range(0, len(plain), RUN):
+            ids = encode("".join(f"{words[i]} ! " for i in plain[k:k + RUN]))
+            ends = np.flatnonzero(ids == mark[0])
+            size[plain[k:k + RUN]] = np.diff(ends, prepend=-1) - 1
+            runs.append(np.delete(ids, ends))
+        flat = np.concatenate(runs) if runs else np.zeros(0, np.uint32)
+        if not parts:
+            return flat, size
+        cuts = np.cumsum(size[plain])
+        for i, piece in zip(plain, np.split(flat, cuts[:-1]) if len(plain) else [], strict=True):
+            parts[i] = piece
+        for k, w in enumerate(words):
+            if parts[k] is None:
+                parts[k] = encode(w)
+                size[k] = len(parts[k])
+        return np.concatenate(parts), size
+
+    return WordEncoder(lines)
 
 
 def with_ends(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,35 +145,55 @@ def with_ends(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray
     return np.insert(ids, bounds[1:], end), bounds + np.arange(len(bounds))
 
 
-def count_ids(docs: DataFrame, path: str, text: str, end: int) -> DataFrame:
-    """(id, n) over all texts; each task sends its sums only."""
+def tokenize(docs: DataFrame, folder: str, path: str, key: str, text: str, end: int) -> np.ndarray:
+    """Write (key, ids) to ``folder`` and give each id's count over all documents.
+
+    Texts are encoded once: a task adds its counts as a row of their own, and sums meet by id.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for rows in slices(batches, text, SLICE_BYTES):
-            ids, bounds = library_encoder(path).ids(rows.column(1))
-            got = np.bincount(ids, minlength=max(len(total), end + 1))
-            got[end] += len(bounds) - 1
+            ids, bounds = with_ends(*library_encoder(path).ids(rows.column(1)), end)
+            got = np.bincount(ids, minlength=len(total))
             got[:len(total)] += total
             total = got
+            raw = ids.astype("<u2" if len(got) <= 1 << 16 else "<u4")
+            packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), rows.num_rows, [
+                None, pa.py_buffer((bounds * raw.itemsize).astype(np.int64).tobytes()), pa.py_buffer(raw.tobytes())])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), packed.cast(pa.binary()), pa.array([raw.itemsize] * rows.num_rows, pa.int32())],
+                ["doc", "ids", "width"])
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], ["id", "n"])
+        counts = np.stack([used, total[used]], 1).astype("<i8").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([counts], pa.binary()),
+                                          pa.array([0], pa.int32())], ["doc", "ids", "width"])
 
-    return docs.mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            pairs = np.concatenate([np.frombuffer(v, "<i8").reshape(-1, 2) for v in rows.column(0).to_pylist()] or
+                                   [np.zeros((0, 2), np.int64)])
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int32()), pa.array(pairs[:, 1])], ["id", "n"])
+
+    docs.mapInArrow(run, "doc long, ids binary, width int").write.option("compression", "zstd").parquet(folder)
+    counts = docs.sparkSession.read.schema("doc long, ids binary, width int").parquet(folder).where("width = 0").select("ids")
+    sums = counts.mapInArrow(unpack, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    total = np.zeros(max((r.id for r in sums), default=-1) + 1, np.int64)  # at most one row for each vocabulary entry
+    for r in sums:
+        total[r.id] = r.n
+    return total
 
 
 def write_ids(docs: DataFrame, folder: str, path: str, key: str = "doc_id", text: str = "text", end: int = 2) -> None:
     """Write each text's ids and ``end`` as a file set in ascending order of ``key``.
 
     Ids are those of the tokenizers library for the file ``path``. A null text counts as empty and has the end id only;
-    a null key comes first; rows that share a key stand in order of their texts. An empty table gives no blocks.
+    a null key comes first; rows that share a key stand in order of their ids. An empty table gives no blocks.
     """
     spark = docs.sparkSession
     docs = docs.selectExpr(f"cast(`{key}` as long) as `{key}`", f"`{text}`")
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    counted = count_ids(docs, path, text, end).collect()  # at most one row for each id of the vocabulary
-    count = np.zeros(max((r.id for r in counted), default=-1) + 1, np.int64)
-    for r in counted:
-        count[r.id] = r.n
+    plain = scratch_path(spark, "plain-ids")
+    count = tokenize(docs, plain, path, key, text, end)
     share = shares(count)
     used = np.flatnonzero(count).tolist()
     spark.createDataFrame([(i, int(count[i]), int(share[i])) for i in used], "id int, n long, share long") \
@@ -164,16 +215,18 @@ def write_ids(docs: DataFrame, folder: str, path: str, key: str = "doc_id", text
             first, block, docs_, sizes, held, n = first + len(ids), block + 1, [], [], [], 0
             return pa.RecordBatch.from_pylist([row], schema=layout)
 
-        for rows in slices(batches, text, SLICE_BYTES):
-            ids, bounds = with_ends(*library_encoder(path).ids(rows.column(1)), end)
+        for rows in batches:
+            parts = [np.frombuffer(v.as_buffer(), f"<u{w}") for v, w in
+                     zip(rows.column(1), rows.column(2).to_pylist(), strict=True)]
+            bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
             names = rows.column(0).fill_null(np.iinfo(np.int64).min).to_numpy()
             at = 0
             while at < rows.num_rows:
                 to = min(rows.num_rows, int(np.searchsorted(bounds, bounds[at] + BLOCK_IDS - n)))
                 docs_.append(names[at:to])
                 sizes.append(np.diff(bounds[at:to + 1]))
-                held.append(ids[bounds[at]:bounds[to]])
-                n += len(held[-1])
+                held += parts[at:to]
+                n += int(bounds[to] - bounds[at])
                 at = to
                 if n >= BLOCK_IDS:
                     yield flush()
@@ -183,7 +236,8 @@ def write_ids(docs: DataFrame, folder: str, path: str, key: str = "doc_id", text
     layout = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n", pa.int64()),
                         ("docs", pa.binary()), ("lengths", pa.binary()), ("states", pa.binary()), ("words", pa.binary()),
                         ("checksum", pa.int64())])
-    docs.repartitionByRange(-(-size // PART_BYTES) or 1, key).sortWithinPartitions(key, text) \
+    spark.read.schema("doc long, ids binary, width int").parquet(plain).where("width > 0") \
+        .repartitionByRange(-(-size // PART_BYTES) or 1, "doc").sortWithinPartitions("doc", "ids") \
         .mapInArrow(run, BLOCKS).write.parquet(f"{folder}/blocks")
 
 
