@@ -63,6 +63,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm.toxicity import fit, held_out, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query()
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessella.llm.simhash import near_duplicates
