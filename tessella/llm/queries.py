@@ -63,6 +63,14 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query()
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm.pages import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query()
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessella.llm.toxicity import fit, held_out, score
