@@ -55,6 +55,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query()
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm.curves import search
+
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return search(rows, rows.where("vec_id % 100 = 0"))
+
+
 @query()
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessella.llm.templates import drop_recurring_lines
