@@ -55,6 +55,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query()
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm.licences import scan_licences
+
+    return scan_licences(table(spark, sf_dir, "documents"))[1]
+
+
 @query()
 def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessella.llm.curves import search
