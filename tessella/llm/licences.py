@@ -126,7 +126,7 @@ def fit(sample: list[str], variants: int = 40, l1: float = 2e-4, steps: int = 30
         rows.append((grams(words), len(classes) - 1))
     seen = Counter(w for p in plain for w in set(p))
     common = {w for w, n in seen.items() if n >= max(4, 0.002 * len(plain))} | STOP
-    common |= {w for e in exact for w in e.split() if not re.search("[a-z]", w)}
+    common |= {w for e in exact for w in e.split() if len(w) == 1 or not re.search("[a-z]", w)}
     names = sorted({g for ts in TEMPLATES.values() for t in ts for g in grams(tokens(t)) if not set(g.split(" ")) <= common})
     at = {g: i for i, g in enumerate(names)}
     rng.shuffle(rows)
@@ -173,12 +173,14 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text"))
-    trained = docs.where("length(__text) > 0").orderBy(F.xxhash64("__text")).limit(sample) \
-        .select(F.split("__text", "\n").alias("ps"), F.xxhash64("__text").alias("h")) \
-        .select(F.substring(F.element_at("ps", (F.pmod("h", F.size("ps")) + 1).cast("int")), 1, 4000).alias("p")).collect()
+    trained = docs.where("length(__text) > 0").select(F.split("__text", "\n").alias("ps"), F.xxhash64("__text").alias("h")) \
+        .select(F.substring(F.element_at("ps", (F.pmod("h", F.size("ps")) + 1).cast("int")), 1, 4000).alias("p"), "h") \
+        .orderBy("h", "p").limit(sample).collect()
     model = fit([r.p for r in trained])
     anchors = model.anchors()
-    holds = lambda c: reduce(or_, (F.contains(F.lower(c), F.lit(a)) for a in anchors))  # noqa: E731  before any splitting
+    # before any splitting; inside exists() the text is folded once, not once for each anchor
+    holds = lambda c: F.exists(
+        F.array(F.lower(c)), lambda t: reduce(or_, (F.contains(t, F.lit(a)) for a in anchors)))
     lines = docs.where(holds("__text")).select("__id", F.posexplode(F.split("__text", "\n")).alias("__at", "__line"))
     found = lines.where(holds("__line")).withColumn("__words", token_column(F.col("__line"))) \
         .where(F.arrays_overlap("__words", F.array(*(F.lit(a) for a in anchors)))) \
