@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.llm.frames import bounded_sample
 from tessella.session import cut_lineage
 
 CURVES, DIMS, BITS = 4, 4, 14
@@ -140,7 +141,7 @@ def search(rows: DataFrame, asked: DataFrame, key: str = "vec_id", vector: str =
     distinct = cut_lineage(few.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")))  # keep ids at most
     queries = usable(asked, key, vector).where(F.size("v") == length.n).distinct()
     asked_vectors = queries.select("v").distinct().withColumn("query", F.lit(True))
-    sample = distinct.orderBy(F.xxhash64("v"), F.col("ids")[0]).limit(SAMPLE_ROWS).select("v").collect()
+    sample = bounded_sample(distinct.select("v"), SAMPLE_ROWS, F.col("v")).collect()
     curves = fit_curves(np.array([r.v for r in sample]), neighbours, goal)
     n, m = distinct.count(), asked_vectors.count()
     blocks = -(-n // BLOCK_ROWS)

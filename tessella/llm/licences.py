@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm.frames import bounded_sample
+
 UNKNOWN = "unknown"
 # fixed values: notices by which public licences are named or begin
 TEMPLATES = {
@@ -174,8 +176,8 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
     spark = docs.sparkSession
     docs = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text"))
     trained = docs.where("length(__text) > 0").select(F.split("__text", "\n").alias("ps"), F.xxhash64("__text").alias("h")) \
-        .select(F.substring(F.element_at("ps", (F.pmod("h", F.size("ps")) + 1).cast("int")), 1, 4000).alias("p"), "h") \
-        .orderBy("h", "p").limit(sample).collect()
+        .select(F.substring(F.element_at("ps", (F.pmod("h", F.size("ps")) + 1).cast("int")), 1, 4000).alias("p"), "h")
+    trained = bounded_sample(trained, sample, F.col("h"), F.col("p")).collect()
     model = fit([r.p for r in trained])
     anchors = model.anchors()
     # before any splitting; inside exists() the text is folded once, not once for each anchor

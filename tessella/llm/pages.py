@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm.frames import bounded_sample
 from tessella.llm.text import SPACE, slices, words_of
 
 PATH_DIM, WORD_DIM, SHAPE_DIM, HIDDEN = 96, 32, 8, 24
@@ -408,8 +409,8 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", page:
     then labelled whole, in tasks. A null or empty page has no blocks and an empty text; repeated rows give the same
     text each. Other columns are not read.
     """
-    some = pages.where(F.col(page).isNotNull() & (F.length(page) < 200_000)).select(page) \
-        .orderBy(F.xxhash64(page)).limit(sample).collect()
+    some = pages.where(F.col(page).isNotNull() & (F.length(page) < 200_000)).select(page)
+    some = bounded_sample(some, sample, F.col(page)).collect()
     model = fit_labeller([r[0] for r in some])
     shared = pages.sparkSession.sparkContext.broadcast(model.w)
 

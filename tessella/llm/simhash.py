@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.llm.frames import carried
 from tessella.llm.text import LOWER, buffers, slices
 from tessella.session import cut_lineage
 
@@ -206,6 +207,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
 
     If rows share that id, one of them stays. Rows without an id can't be chosen and all stay.
     """
+    docs = docs.select(*(f"`{c}`" for c in carried(docs)))
     groups = near_duplicates(docs, key, text, width, radius)
     ids = groups.where(f"`{key}` = component_id").select(F.col(key).alias("__kept")).distinct()
     first = Window.partitionBy("__kept").orderBy(text)

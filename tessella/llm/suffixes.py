@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm.frames import carried, fields
 from tessella.llm.text import Words, slices, words_of
 
 BREAKS = np.ones(256, bool)  # words are digits, letters a-z and everything beyond ASCII
@@ -149,10 +150,9 @@ def match_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", i
     size = asked.agg(F.sum(F.octet_length("body") + F.octet_length("name"))).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES) or 1
     made = ("n_words", "n_hit", "hits", "longest", "items", "contaminated")
-    docs = docs.select(*(f"`{c}`" for c in docs.columns if c.lower() not in (*made, "__cover", "__items", "__longest")))
+    docs = docs.select(*(f"`{c}`" for c in carried(docs, *made)))
     state = docs.withColumns({"__cover": F.lit(None).cast("binary"), "__longest": F.lit(0).cast("long"),
                               "__items": F.array().cast("array<string>")})
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     for k in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("name", "body"), F.lit(blocks)) == k).orderBy("name", "body").collect()
         shared = spark.sparkContext.broadcast([(r.name, r.body) for r in rows])
@@ -162,14 +162,14 @@ def match_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", i
             for rows in slices(batches, text, SHARD_BYTES):
                 yield _mark(rows, text, queries)
 
-        state = state.mapInArrow(scan, f"{fields}, __cover binary, __longest long, __items array<string>")
+        state = state.mapInArrow(scan, f"{fields(docs)}, __cover binary, __longest long, __items array<string>")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             yield _report(rows)
 
     result = "n_words long, n_hit long, hits array<struct<`from`: int, `to`: int>>, longest long, items array<string>, contaminated boolean"
-    return state.mapInArrow(finish, f"{fields}, {result}")
+    return state.mapInArrow(finish, f"{fields(docs)}, {result}")
 
 
 def _put(rows: pa.RecordBatch, drop: tuple[str, ...], new: dict[str, pa.Array]) -> pa.RecordBatch:

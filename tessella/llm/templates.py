@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tessella.llm.frames import carried, fields
 from tessella.llm.exchange import Keys, exchange
 from tessella.llm.text import SECOND_BASE, WORD_BASE, buffers, mix, spans_hash, split_words
 
@@ -61,7 +62,7 @@ def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text
     one blank line. A null id comes before all others, and rows that share an id count as one document. Columns named
     ``n_lines`` or ``n_dropped`` in the input are replaced.
     """
-    rest = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", key.lower(), text.lower())]
+    rest = carried(docs, "n_lines", "n_dropped", key, text)
     docs = docs.selectExpr(f"cast(`{key}` as long) as `{key}`", f"`{text}`", *(f"`{c}`" for c in rest))
 
     def find(rows: pa.Table) -> Keys:
@@ -102,5 +103,4 @@ def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text
         done = done.append_column("n_lines", pa.array(np.where(null, 0, np.diff(first)), pa.int64()))
         return done.append_column("n_dropped", pa.array(np.where(null, 0, lost), pa.int64()))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return exchange(docs, key, text, find, apply, f"{fields}, n_lines long, n_dropped long", least_docs)
+    return exchange(docs, key, text, find, apply, f"{fields(docs)}, n_lines long, n_dropped long", least_docs)

@@ -12,11 +12,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm.frames import bounded_sample, carried, fields
 from tessella.llm.suffixes import BREAKS
 from tessella.llm.text import BYTE_BASE, inverse, mix, powers, slices, words_of
 
 PREFIXES = (3, 4, 5, 6, 8)  # bytes of a word's beginning that are features beside the whole word
 SLICE_BYTES = 4 << 20
+LEAST_Z = 3.5  # a feature's rates in the classes must differ by so many standard errors
 # fixed values: terms for groups of people; the terms of one line are swapped for each other
 IDENTITY_TERMS = [
     ["women", "men"], ["woman", "man"], ["girls", "boys"],
@@ -125,9 +127,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     prior = np.log((count.get(1, 0) + 0.5) / (count.get(0, 0) + 0.5))
     if not count.get(0) or not count.get(1):
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(prior))
-    by_hash = [F.xxhash64("__id"), F.col("__id")]
-    picked = known.where("__y = 1").orderBy(*by_hash).limit(per_class).unionAll(
-        known.where("__y = 0").orderBy(*by_hash).limit(per_class))
+    picked = bounded_sample(known.where("__y = 1"), per_class, F.col("__id")).unionAll(
+        bounded_sample(known.where("__y = 0"), per_class, F.col("__id")))
     # at most 2 * per_class ids
     sample = docs.where(F.col(text).isNotNull()).select(F.col(key).cast("long").alias("__id"), F.col(text).alias("__t")) \
         .join(F.broadcast(picked), "__id").select("__y", "__t")
@@ -151,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     gap = F.abs(F.col("pos") / p - F.col("neg") / n) / F.sqrt(rate * (1 - rate) + 1e-9)
     best = sample.mapInArrow(tally, "f long, pos long, neg long").groupBy("f") \
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where(F.col("pos") + F.col("neg") >= least_docs) \
-        .select("f", gap.alias("gap")).where("gap > 0.05").orderBy(F.desc("gap"), "f").limit(width).collect()
+        .select("f", gap.alias("gap")).where(F.col("gap") * float(np.sqrt(p * n / (p + n))) > LEAST_Z).orderBy(F.desc("gap"), "f").limit(width).collect()
     model = Model(np.sort(np.array([r.f for r in best], np.int64).view(np.uint64)), np.zeros(len(best)), 0.0)
     to = {a: b for line in terms for a, b in zip(line, line[1:] + line[:1], strict=True)}
     any_term = regex.compile(r"\b(" + "|".join(map(regex.escape, sorted(to, key=len, reverse=True))) + r")\b", regex.I)
@@ -186,8 +187,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
     A null or empty text has no features and gets the score of the bias alone. Whole texts are read, rows are
     independent, and input columns named ``score`` or ``predicted`` are replaced.
     """
-    docs = docs.select(*(f"`{c}`" for c in docs.columns if c.lower() not in ("score", "predicted")))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    docs = docs.select(*(f"`{c}`" for c in carried(docs, "score", "predicted")))
     shared = docs.sparkSession.sparkContext.broadcast((model.chosen, model.weight, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +197,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", threshold: float =
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))],
                                              [*rows.schema.names, "score", "predicted"])
 
-    return docs.mapInArrow(run, f"{fields}, score double, predicted int")
+    return docs.mapInArrow(run, f"{fields(docs)}, score double, predicted int")
 
 
 def held_out(key: str = "doc_id"):
