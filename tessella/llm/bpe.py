@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from tessella.llm.text import slices
 from tessella.llm.wordids import SLICE_BYTES, WordEncoder
 
+RUN = 1 << 17  # ids that are decoded at once
 END = 0x10000  # added to the last letter's code: a letter at a word's end is a symbol of its own
 
 
@@ -172,10 +173,13 @@ class Decoder:
         self.data = np.frombuffer(b"".join(names), np.uint8)
 
     def texts(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
-        begin = self.start[ids]
-        size = self.start[ids + 1] - begin
+        size = self.start[ids + 1] - self.start[ids]
         ends = np.cumsum(size)
-        data = self.data[np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        runs = []
+        for k in range(0, len(ids), RUN):  # the gather's index is eight times its bytes
+            part, wide = ids[k:k + RUN], size[k:k + RUN]
+            runs.append(self.data[np.repeat(self.start[part] - np.cumsum(wide) + wide, wide) + np.arange(wide.sum())])
+        data = np.concatenate(runs) if runs else self.data[:0]
         at = np.concatenate([[0], ends])[bounds]
         keep = np.ones(len(data), bool)
         keep[at[1:][np.diff(at) > 0] - 1] = False  # the space after a text's last token
