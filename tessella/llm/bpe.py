@@ -63,7 +63,7 @@ class Vocabulary:
             if whole in self.parts:
                 raise ValueError(f"two merges make {a + b!r}")
             self.made[whole], self.parts[whole] = k, pair
-        self.fits = lru_cache(maxsize=1 << 18)(self._fits)
+        self.fits = lru_cache(maxsize=1 << 16)(self._fits)
 
     def symbols(self, token: str) -> str:
         if token.endswith(self.suffix) and token != self.suffix:
@@ -137,7 +137,7 @@ class Encoder:
         if got is None:
             s = "".join(self.letters[b] for b in piece.encode())
             got = self.vocabulary.encode(s[:-1] + chr(ord(s[-1]) + END))
-            if len(self.kept) > 200_000:
+            if len(self.kept) > 30_000:
                 self.kept.clear()
             self.kept[piece] = got
         return got
