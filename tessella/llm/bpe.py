@@ -137,7 +137,7 @@ class Encoder:
         if got is None:
             s = "".join(self.letters[b] for b in piece.encode())
             got = self.vocabulary.encode(s[:-1] + chr(ord(s[-1]) + END))
-            if len(self.kept) > 30_000:
+            if len(self.kept) > 60_000:
                 self.kept.clear()
             self.kept[piece] = got
         return got

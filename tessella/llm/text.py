@@ -12,6 +12,7 @@ import pyarrow as pa
 BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 WORD_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 SECOND_BASE = np.uint64(0xD6E8FEB86659FD93)
+RUN_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -64,8 +65,15 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self) -> np.ndarray:
-        size = (self.ends - self.starts).astype(np.uint64)
-        return mix(spans_hash(self.data, self.starts, self.ends, BYTE_BASE) + size)
+        """Of each word, wherever it stands; in runs, as a byte takes several numbers of eight bytes."""
+        out, lo = np.empty(len(self.starts), np.uint64), 0
+        while lo < len(out):
+            begin = self.starts[lo]
+            hi = max(lo + 1, int(np.searchsorted(self.ends, begin + RUN_BYTES)))
+            starts, ends = self.starts[lo:hi] - begin, self.ends[lo:hi] - begin
+            out[lo:hi] = spans_hash(self.data[begin:self.ends[hi - 1]], starts, ends, BYTE_BASE)
+            lo = hi
+        return mix(out + (self.ends - self.starts).astype(np.uint64))
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i]:self.ends[i]].tobytes()

@@ -17,7 +17,7 @@ from tessella.llm.suffixes import BREAKS
 from tessella.llm.text import BYTE_BASE, inverse, mix, powers, slices, words_of
 
 PREFIXES = (3, 4, 5, 6, 8)  # bytes of a word's beginning that are features beside the whole word
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 LEAST_Z = 3.5  # a feature's rates in the classes must differ by so many standard errors
 # fixed values: terms for groups of people; the terms of one line are swapped for each other
 IDENTITY_TERMS = [

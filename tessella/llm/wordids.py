@@ -11,7 +11,7 @@ import pyarrow as pa
 from tessella.llm.text import LOWER, SPACE, Words, buffers, split_words
 
 SLICE_BYTES = 2 << 20
-REMEMBERED = 500_000  # distinct words that a task keeps; beyond, words are encoded again and nothing is lost
+REMEMBERED = 800_000  # distinct words that a task keeps; beyond, words are encoded again and nothing is lost
 LETTER = np.zeros(256, bool)
 LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 STOP = np.zeros(256, bool)
