@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -189,8 +190,8 @@ class Decoder:
                                                 pa.py_buffer(data[keep].tobytes()))
 
 
-@lru_cache(maxsize=2)
 def _coder(path: str) -> tuple[Encoder, Decoder, WordEncoder]:
+    """Built in each task and dropped with it: a worker that goes on to other stages keeps no vocabulary."""
     encoder = Encoder(path)
     return encoder, Decoder(encoder.vocabulary), WordEncoder(encoder.lines)
 
@@ -202,7 +203,7 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     an empty text. Rows are independent: repeated ids and rows are encoded each. Other columns are not read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, decoder, coder = _coder(path)
+        encoder, decoder, coder = _coder(path)
         for rows in slices(batches, text, SLICE_BYTES):
             ids, bounds = coder.ids(rows.column(1))
             raw = ids.astype("<u4").tobytes()
@@ -211,6 +212,10 @@ def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.array(np.diff(bounds), pa.int64()), packed.cast(pa.binary()),
                  decoder.texts(ids, bounds).cast(pa.string())], [key, "n_tokens", "ids", "decoded"])
+        encoder.vocabulary.fits.cache_clear()  # the cache and the vocabulary hold each other
+        del encoder, decoder, coder
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
     return docs.selectExpr(f"cast(`{key}` as long) as `{key}`", f"`{text}`").mapInArrow(
         run, f"`{key}` long, n_tokens long, ids binary, decoded string")
