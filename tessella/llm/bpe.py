@@ -15,8 +15,10 @@ import regex
 from pyspark.sql import DataFrame
 
 from tessella.llm.text import slices
-from tessella.llm.wordids import SLICE_BYTES, WordEncoder
+from tessella.llm.wordids import WordEncoder
 
+SLICE_BYTES = 1 << 20
+REMEMBERED = 400_000  # distinct words that a task keeps
 RUN = 1 << 17  # ids that are decoded at once
 END = 0x10000  # added to the last letter's code: a letter at a word's end is a symbol of its own
 
@@ -193,7 +195,7 @@ class Decoder:
 def _coder(path: str) -> tuple[Encoder, Decoder, WordEncoder]:
     """Built in each task and dropped with it: a worker that goes on to other stages keeps no vocabulary."""
     encoder = Encoder(path)
-    return encoder, Decoder(encoder.vocabulary), WordEncoder(encoder.lines)
+    return encoder, Decoder(encoder.vocabulary), WordEncoder(encoder.lines, REMEMBERED)
 
 
 def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 4 << 20   # text that one batch holds on average
+BATCH_BYTES = 2 << 20   # text that one batch holds on average
 BUCKET_BYTES = 16 << 20  # text whose keys one bucket holds on average
 NO_ID = np.iinfo(np.int64).min  # stands for a null id: it comes before all others
 PACK = "__batch long, __bucket long, __keys binary, __docs binary, __runs binary, __many binary"
@@ -186,6 +186,7 @@ def exchange(docs: DataFrame, key: str, text: str, find: Callable[[pa.Table], Ke
             lo, hi = bounds[r["__bucket"]], bounds[r["__bucket"] + 1]
             for out, bits in ((shared, r["__shared"]), (first, r["__first"])):
                 out[lo:hi] = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo).astype(bool)
+        pa.default_memory_pool().release_unused()
         return apply(rows, keys, shared[found.of], ~(found.leads & first[found.of]))
 
     packed = pa.schema([("__batch", pa.int64()), ("__bucket", pa.int64())]

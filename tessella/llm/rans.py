@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.text import slices
-from tessella.llm.wordids import SLICE_BYTES, WordEncoder
+from tessella.llm.wordids import WordEncoder
 from tessella.session import scratch_path
 
 SCALE = 20          # frequencies are multiples of 2**-SCALE
+SLICE_BYTES = 8 << 20
+REMEMBERED = 2_000_000  # distinct words that a task keeps
 LANES = 1024        # interleaved coders of a block
 BLOCK_IDS = 1 << 18  # a block ends with the document that reaches so many ids
 PART_BYTES = 32 << 20  # text of one sorted part
@@ -137,7 +139,7 @@ def library_encoder(path: str) -> WordEncoder:
                 size[k] = len(parts[k])
         return np.concatenate(parts), size
 
-    return WordEncoder(lines)
+    return WordEncoder(lines, REMEMBERED)
 
 
 def with_ends(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -10,8 +10,6 @@ import pyarrow as pa
 
 from tessella.llm.text import LOWER, SPACE, Words, buffers, split_words
 
-SLICE_BYTES = 2 << 20
-REMEMBERED = 800_000  # distinct words that a task keeps; beyond, words are encoded again and nothing is lost
 LETTER = np.zeros(256, bool)
 LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 STOP = np.zeros(256, bool)
@@ -61,9 +59,11 @@ class WordEncoder:
     """Encodes each distinct piece of a batch once, and remembers it by its 64-bit hash.
 
     ``encode`` gets pieces as one text with a line break after each, and gives their ids and each piece's number of ids.
+    Beyond ``remembered`` pieces, all are forgotten and encoded again; nothing is lost.
     """
 
     encode: Callable[[str], tuple[np.ndarray, np.ndarray]]
+    remembered: int
     known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     start: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     size: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
@@ -73,7 +73,7 @@ class WordEncoder:
         """All ids one text after another, and the bounds of the texts."""
         words = pieces(texts)
         value, at, of = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known, self.start, self.size, self.flat = (a[:0] for a in (self.known, self.start, self.size, self.flat))
         place = np.searchsorted(self.known, value)
         old = place < len(self.known)
