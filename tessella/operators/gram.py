@@ -40,12 +40,19 @@ class Moments:
         return Moments(self.n, self.xx[np.ix_(idx, idx)], self.xy[list(idx)], self.yy)
 
 
+def complete_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The rows without a NULL or NaN in ``cols``: the only ones that sums over several columns are made of."""
+    return df.dropna(subset=list(dict.fromkeys(cols)))
+
+
 def moment_cells(df: DataFrame, cols: Sequence[str], by: str | None = None, weight: str | None = None) -> DataFrame:
     """``[by,] i, j, v``: the upper triangle of the sum of (weight *) x_i * x_j, over rows without gaps.
 
+    A row with a NULL or NaN in any of the columns (or in the weight) adds to no cell, whatever the number of columns.
     Rows never leave their partition: each contributes to at most D(D+1)/2 partial sums per group.
     """
     cols = list(cols)
+    df = complete_rows(df, [*cols, *([weight] if weight else [])])
     d = len(cols)
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
     keys = [by] if by else []
@@ -91,7 +98,7 @@ def moment_cells(df: DataFrame, cols: Sequence[str], by: str | None = None, weig
 def moments(df: DataFrame, cols: Sequence[str], y: str, by: str | None = None) -> dict:
     """Moments per group (key ``None`` without ``by``); only D x D cells per group reach the driver.
 
-    ``by`` is a key of few values, such as a fold, a split or a segment.
+    ``by`` is a key of few values, such as a fold, a split or a segment. ``n`` counts the rows without gaps, which are those that the sums are made of.
     """
     one = "_one"
     names = [*cols, y, one]

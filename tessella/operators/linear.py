@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import dot, sigmoid
-from .gram import Moments, moments, solve
+from .gram import Moments, complete_rows, moments, solve
 from .ranking import hash_rank
 
 STOP_BELOW = 1e-8  # change of the penalised logistic loss that ends the descent
@@ -67,10 +67,11 @@ def descend_stochastic(df: DataFrame, cols: Sequence[str], y: str, w0: np.ndarra
     """One uniformly drawn row per step; the loss is that of the last drawn row before its step.
 
     Draws are ranks in hash order. Only the hash buckets that hold a drawn rank are shuffled, and at
-    most ``steps`` rows come back for the sequential fold.
+    most ``steps`` rows come back for the sequential fold. Rows with a gap are never drawn.
     """
     import hashlib
 
+    df = complete_rows(df, [y, *cols])
     n = df.count()
     draws = []
     for t in range(1, steps + 1):
@@ -89,7 +90,7 @@ def descend_stochastic(df: DataFrame, cols: Sequence[str], y: str, w0: np.ndarra
 
 def _logistic_pass(df: DataFrame, cols: list[str], y: str, w: np.ndarray,
                    curvature: bool) -> tuple[float, np.ndarray, np.ndarray | None]:
-    """Loss, gradient and (when asked) Hessian at ``w`` in one aggregation."""
+    """Loss, gradient and (when asked) Hessian at ``w`` in one aggregation over rows without gaps."""
     d = len(cols)
     pairs = [(i, j) for i in range(d) for j in range(i, d)] if curvature else []
     z = dot(cols, w)
@@ -111,7 +112,8 @@ def _logistic_pass(df: DataFrame, cols: list[str], y: str, w: np.ndarray,
             x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in cols])
             t = b.column(y).to_numpy(zero_copy_only=False)
             u = x @ w
-            s = 1.0 / (1.0 + np.exp(-np.clip(u, -700, 700)))
+            with np.errstate(over="ignore"):  # as the column expression: limited at 1,000, where e^z is infinite
+                s = 1.0 / (1.0 + np.exp(-np.clip(u, -1000.0, 1000.0)))
             out[0] += np.sum(np.maximum(u, 0) + np.log1p(np.exp(-np.abs(u))) - t * u)
             out[1:1 + d] += x.T @ (s - t)
             if curvature:
@@ -133,10 +135,10 @@ def logistic(df: DataFrame, cols: Sequence[str], y: str, w0: np.ndarray, steps:
 
     ``lam`` adds the ridge term to gradient, Hessian and loss. ``stop`` ends the descent when the
     loss moves by less (``STOP_BELOW`` for the regularised model). The loss is that after the last
-    step; step t's gradient and step t-1's loss come out of the same pass.
+    step; step t's gradient and step t-1's loss come out of the same pass. Rows with a gap take no part.
     """
     cols = list(cols)
-    held = df.select(y, *cols).persist(StorageLevel.MEMORY_AND_DISK)
+    held = complete_rows(df.select(y, *cols), [y, *cols]).persist(StorageLevel.MEMORY_AND_DISK)
     w, before, done = np.array(w0, float), 0.0, 0
     try:
         loss, grad, hess = _logistic_pass(held, cols, y, w, newton)

@@ -10,11 +10,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import class_label, digest, dot, sigmoid
+from ..functions.scalars import MISSING, class_label, digest, dot, sigmoid
 from ..operators import features as ft
 from ..operators import linear as lm
 from ..operators import tuning
-from ..operators.gram import Moments, moments
+from ..operators.gram import Moments, complete_rows, moments
 from ..operators.metrics import log_loss, penalty, weighted_accuracy
 from ..operators.ranking import exact_medians, hash_thresholds
 from ..operators.splits import fold_exact, split_exact
@@ -36,7 +36,8 @@ GRIDS = {
 class Preparation:
     """Statistics fitted on the training table and applied to any table.
 
-    ``missing``: ``keep`` NULLs (the scaling turns them into 0), ``median``, or ``drop`` incomplete features.
+    ``missing``: ``keep`` NULLs (the scaling turns them into 0; without scaling, incomplete rows take no part in a fit),
+    ``median``, ``marker`` (the number that marks a missing value stays a value), or ``drop`` incomplete features.
     """
 
     cols: Sequence[str]
@@ -54,6 +55,8 @@ class Preparation:
 
     def _expand(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
         rows = ft.impute(df, self.medians) if self.medians else df
+        if self.missing == "marker":
+            rows = rows.fillna(MISSING, list(self.used))
         return ft.expand_powers(rows.drop(*[c for c in self.cols if c not in self.used]), self.used, self.degree)
 
     def transform(self, df: DataFrame, refit: bool = False) -> DataFrame:
@@ -74,6 +77,7 @@ class Outcome:
     accuracy: float
     train_accuracy: float
     trials: list[dict]
+    left_out: int = 0  # training rows with a gap in a column of the model
 
 
 class Experiment:
@@ -105,11 +109,14 @@ class Experiment:
         self.prep.fit(raw)
         cols = self.prep.out
         rows = self.prep.transform(raw).withColumn("y", encode_label(logistic=self.logistic)).select("id", "y", *cols)
-        rows = split_exact(rows, self.ratio, self.seed, mark="_part") if self.folds is None else \
-            fold_exact(rows, self.folds, self.seed, mark="_part")
+        whole = complete_rows(rows, ["y", *cols])
+        rows = split_exact(whole, self.ratio, self.seed, mark="_part") if self.folds is None else \
+            fold_exact(whole, self.folds, self.seed, mark="_part")
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return self._search(rows, cols)
+            outcome = self._search(rows, cols)
+            outcome.left_out = raw.count() - rows.count()
+            return outcome
         finally:
             rows.unpersist()
             raw.unpersist()
@@ -194,11 +201,14 @@ class SegmentedRidge:
     """One ridge model per segment, each with its own columns, degree and penalty.
 
     All segments share one pass: the moments of the union of their columns, grouped by segment and
-    split, from which each segment picks its own.
+    split, from which each segment picks its own. ``missing``: a gap becomes ``zero``, or the ``marker`` stays a value.
+    A row of a segment without a model gets the more frequent class of the training rows.
     """
 
-    def __init__(self, segment: Column, plans: Mapping[int, SegmentPlan], ratio: float = 0.8, seed: int = 155):
+    def __init__(self, segment: Column, plans: Mapping[int, SegmentPlan], ratio: float = 0.8, seed: int = 155,
+                 missing: str = "zero"):
         self.segment, self.plans, self.ratio, self.seed = segment, dict(plans), ratio, seed
+        self.fill = {"zero": 0.0, "marker": MISSING}[missing]
         self.degrees: dict[str, int] = {}
         for p in self.plans.values():
             for c in p.cols:
@@ -207,7 +217,7 @@ class SegmentedRidge:
     def _wide(self, df: DataFrame) -> DataFrame:
         base = df.withColumn("_seg", self.segment)
         filled = base.select("id", *[c for c in ("label",) if c in df.columns], "_seg",
-                             *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in self.degrees])
+                             *[F.coalesce(F.col(c), F.lit(self.fill)).alias(c) for c in self.degrees])
         wide, self.all_cols = ft.expand_powers(filled, list(self.degrees), self.degrees)
         return wide
 
@@ -222,10 +232,13 @@ class SegmentedRidge:
         limits = {s: hash_thresholds(keyed.where(F.col("_seg") == s), "id", self.seed, [int(np.floor(self.ratio * n))])[0]
                   for s, n in sizes.items() if s in self.plans}
         keyed.unpersist()
-        limit = F.create_map(*[F.lit(v) for kv in limits.items() for v in kv])[F.col("_seg")]
+        # rows of a segment without a plan are no training rows
+        limit = F.create_map(*[F.lit(v) for kv in limits.items() for v in kv])[F.coalesce("_seg", F.lit(min(limits) - 1))]
         # read by the fit and by every score of it
-        self.rows = wide.withColumn("is_train", digest(self.seed, "id") < limit).persist(StorageLevel.MEMORY_AND_DISK)
+        self.rows = wide.withColumn("is_train", F.coalesce(digest(self.seed, "id") < limit, F.lit(False))).persist(StorageLevel.MEMORY_AND_DISK)
         by = moments(self.rows.where("is_train"), self.all_cols, "y", by="_seg")
+        bias = self.all_cols.index(ft.BIAS)
+        self.lean = sum(m.xy[bias] for m in by.values())
         self.models = {}
         for s, p in self.plans.items():
             own = self._own(s)
@@ -237,7 +250,7 @@ class SegmentedRidge:
         score = None
         for s, m in self.models.items():
             score = F.when(F.col("_seg") == s, m.score()) if score is None else score.when(F.col("_seg") == s, m.score())
-        return class_label(score)
+        return class_label(score.otherwise(F.lit(float(self.lean))))
 
     def accuracies(self) -> DataFrame:
         """``segment, is_train, n, accuracy`` on the fitted table."""

@@ -131,6 +131,21 @@ def train_validate_ridge(spark, sf):
                                  "error DOUBLE, train_accuracy DOUBLE, accuracy DOUBLE")
 
 
+_GAPPED, _GAP_NAMES = k.prepared(["f0", "f1", "f3", "f5"], 1, "keep", False)
+_COMPLETE = (*_GAPPED, "dc as materialized (select * from d where " + " and ".join(f"x{i} is not null" for i in range(5)) + ")",
+             k.ranked("rk", "dc", 1), "dt as materialized (select *, k < floor(0.8::double * total) as is_train from rk)",
+             k.moment_cte("m", "dt", 5, where="where is_train"), *k.ridge_ctes("w", "m", 5, "0.02"))
+
+
+@query(k.sql("select pos, feature, weight, (select count(*) from d)::bigint - (select count(*) from dc)::bigint as left_out from ("
+             + k.weights_out(_GAP_NAMES, "w") + ")", *_COMPLETE))
+def ridge_incomplete_rows(spark, sf):
+    """Unscaled features that keep their gaps: incomplete rows are left out and counted."""
+    exp = Experiment("ridge", ["f0", "f1", "f3", "f5"], missing="keep", scale=False, ratio=0.8, params={"lam": 0.02})
+    out = exp.run(nulled(spark, sf))
+    return weights(spark, out.model).withColumn("left_out", F.lit(out.left_out).cast("bigint"))
+
+
 _FOLDS = (*PREP, k.ranked("rk", "d", 1), "dt as materialized (select *, least(k // (total // 4), 3)::int as fold from rk)",
           "fd as materialized (select dt.*, g.held from dt, (select unnest(range(4))::int as held) g)",
           k.moment_cte("m", "fd", D, keys=["held"], where="where fold <> held"), *k.ridge_ctes("w", "m", D, "0.02", ["held"]))

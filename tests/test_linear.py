@@ -121,3 +121,40 @@ def test_segments_equal_separate_fits(spark, sf):
     assert model.predict(table).count() == table.count()
     overall = {r["is_train"]: r["accuracy"] for r in model.overall().collect()}
     assert 0.5 < overall[True] <= 1.01 and 0.5 < overall[False] <= 1.05
+
+
+@pytest.mark.parametrize("switch", [0, 1000])
+def test_rows_with_gaps_take_no_part_on_either_path(spark, monkeypatch, switch):
+    monkeypatch.setattr(gram, "NARROW", switch)
+    monkeypatch.setattr(lm, "WIDE", switch)
+    rng = np.random.default_rng(3)
+    x, gone = rng.normal(size=(300, 3)), rng.random((300, 3)) < 0.3
+    y = np.where(x[:, 0] + rng.normal(size=300) > 0, 1.0, 0.0)
+    rows = [(i, *[None if g else float(v) for v, g in zip(r, m)], float(t)) for i, (r, m, t) in enumerate(zip(x, gone, y))]
+    df = spark.createDataFrame(rows, "id BIGINT, a DOUBLE, b DOUBLE, c DOUBLE, y DOUBLE").repartition(3)
+    own = ~gone.any(axis=1)
+    cx, cy = x[own], y[own]
+    m = lm.moments_of(df, list("abc"))
+    assert m.n == own.sum() and np.allclose(m.xx, cx.T @ cx) and np.allclose(m.xy, cx.T @ cy)
+    w = np.zeros(3)
+    for _ in range(3):
+        s = 1 / (1 + np.exp(-cx @ w))
+        w = w - np.linalg.solve((cx.T * (s * (1 - s))) @ cx, cx.T @ (s - cy))
+    assert np.allclose(lm.logistic(df, list("abc"), "y", np.zeros(3), 3, 1.0, newton=True).w, w)
+    table = df.select("id", F.when(F.col("y") > 0, "s").otherwise("b").alias("label"), "a", "b", "c")
+    out = Experiment("ridge", list("abc"), missing="keep", scale=False, ratio=0.8, params={"lam": 0.01}).run(table)
+    assert out.left_out == 300 - own.sum() and out.accuracy > 0.5
+
+
+def test_the_marker_can_stay_a_value(spark):
+    df = spark.createDataFrame([(1, None), (2, 2.0)], "id INT, f0 DOUBLE")
+    prep = Preparation(["f0"], missing="marker", scale=False, degree=2).fit(df)
+    assert [tuple(r) for r in prep.transform(df).orderBy("id").select("f0_p1", "f0_p2").collect()] == [(-999.0, 998001.0), (2.0, 4.0)]
+
+
+def test_a_segment_without_a_plan_gets_the_frequent_class(spark):
+    rows = [(i, "b" if i % 4 else "s", float(i % 2), float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id BIGINT, label STRING, f2 DOUBLE, f0 DOUBLE")
+    model = SegmentedRidge(F.col("f2").cast("int"), {0: SegmentPlan(["f0"], 1, 0.1), 1: SegmentPlan(["f0"], 1, 0.1)}).fit(df)
+    other = spark.createDataFrame([(99, 7.0, 1.0), (98, None, 1.0)], "id BIGINT, f2 DOUBLE, f0 DOUBLE")
+    assert {r["Prediction"] for r in model.predict(other).collect()} == {-1}
