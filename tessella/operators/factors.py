@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import number
 from ..session import checkpoint_root, cut_lineage
-from .lookup import HOT_SHARE, SPREAD, Held
+from .lookup import TASK_ROWS, Held
 from .means import Recommender, global_mean
 
 USER, ITEM = 0, 1
-ROWS_PER_TASK, MAX_TASKS = 1_000_000, 100_000
+ROWS_PER_TASK = 1_000_000
 
 
 def _f(prefix: str, rank: int) -> list[str]:
@@ -211,11 +211,11 @@ class WeightedAls(Recommender):
         total_n = ratings.count()
         # the layout's width follows the data, not the session's shuffle setting
         parallel = ratings.sparkSession.sparkContext.defaultParallelism
-        self.tasks = min(MAX_TASKS, max(parallel, total_n // ROWS_PER_TASK))
+        self.tasks = max(parallel, total_n // ROWS_PER_TASK)
         users, items = init_factors(ratings, self.rank, self.seed)
         users, items = cut_lineage(users), cut_lineage(items)
         self.n_users, self.n_items = users.count(), items.count()
-        layouts = {key: self._layout(ratings, table, key, total_n) for key, table in (("user", users), ("item", items))}
+        layouts = {key: self._layout(ratings, table, key) for key, table in (("user", users), ("item", items))}
         self.errors: list[float] = []
         before = 0.0
         for _ in range(self.max_sweeps):
@@ -232,16 +232,16 @@ class WeightedAls(Recommender):
         self.users, self.items = users, items
         return self
 
-    def _layout(self, ratings: DataFrame, table: DataFrame, key: str, n: int) -> tuple[DataFrame, bool]:
+    def _layout(self, ratings: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, bool]:
         other = "item" if key == "user" else "user"
-        # at most HOT_SHARE keys can hold more than 1/HOT_SHARE of the rows
-        hot = table.where(F.col("n") > max(n / HOT_SHARE, 100_000)).select(key, F.lit(True).alias("_hot"))
-        split = not hot.isEmpty()
+        hot = table.where(F.col("n") > TASK_ROWS).select(key, F.ceil(F.col("n") / TASK_ROWS).alias("_shares"))
+        many = hot.count()
+        split = many > 0
         if split:
-            share = F.when(F.col("_hot"), F.pmod(F.xxhash64(other), F.lit(SPREAD))).otherwise(F.lit(0))
-            ratings = ratings.join(F.broadcast(hot), key, "left").withColumn("_share", share).drop("_hot")
-        keys = [key, "_share"] if split else [key]
-        dealt = ratings.repartition(self.tasks, *keys).drop("_share")
+            share = F.pmod(F.xxhash64(other), F.coalesce(F.col("_shares"), F.lit(1)))
+            ratings = ratings.join(F.broadcast(hot) if _is_small(many, 32) else hot, key, "left").withColumn("_deal", share) \
+                .drop("_shares")
+        dealt = ratings.repartition(self.tasks, *([key, "_deal"] if split else [key]))
         return dealt.sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK), split
 
     def _half_step(self, layout: tuple[DataFrame, bool], key: str, other: str, factors: DataFrame, rows_n: int,
@@ -253,8 +253,7 @@ class WeightedAls(Recommender):
         width = 24 + 8 * rank
         joined = fixed.join_to(rows, other, "inner", row_bytes=width)
         if not _is_small(rows_n, width):  # a shuffled join loses the layout
-            deal = [key, F.pmod(F.xxhash64(other), F.lit(SPREAD))] if split else [key]
-            joined = joined.repartition(self.tasks, *deal).sortWithinPartitions(key)
+            joined = joined.repartition(self.tasks, *([key, "_deal"] if split else [key])).sortWithinPartitions(key)
         wide = [f"s{c}" for c in range(rank * (rank + 1) // 2 + rank + 2)]
         kind = dict(rows.dtypes)[key]
         out_schema = f"{key} {kind}, n BIGINT, sse DOUBLE, " + ", ".join(f"{n} DOUBLE" for n in names)

@@ -9,28 +9,32 @@ from pyspark.sql import functions as F
 
 from ..session import BROADCAST_LIMIT_BYTES, cut_lineage
 
-HOT_SHARE = 1024  # a key is hot when it holds more than 1/1024 of the rows: at most 1,024 keys are
-SPREAD = 64  # shares a hot key is dealt to
+TASK_ROWS = 1_000_000  # rows of a key that one task takes; a key of more is dealt to several
 
 
 def lookup(long: DataFrame, table: DataFrame, on: str, *, rows: int, row_bytes: int = 32, how: str = "left",
-           count: str | None = None, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+           limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Join ``table`` (``rows`` rows, one per ``on``) to ``long``.
 
-    A table within ``limit`` bytes is broadcast. A larger one is shuffled; when ``count`` names its
-    column of key frequencies, the rows of hot keys are dealt to ``SPREAD`` shares and only those keys
-    (at most ``HOT_SHARE``) are repeated, so no task gets a whole hot key.
+    A table within ``limit`` bytes is broadcast. A larger one is shuffled: the keys of ``long`` are counted, one of more
+    than ``TASK_ROWS`` rows is dealt to as many shares as it needs, and only the rows of those keys are repeated, so no
+    task gets more than about ``TASK_ROWS`` rows of a key. Counted is the table that is joined, whatever the key's place
+    elsewhere. Rows with a NULL key meet nothing and are dealt like a hot key of their own.
     """
     if rows * row_bytes <= limit:
         return long.join(F.broadcast(table), on, how)
-    if count is None:
+    hot = cut_lineage(long.groupBy(on).count().where(F.col("count") > TASK_ROWS)
+                      .select(on, F.ceil(F.col("count") / TASK_ROWS).cast("int").alias("_shares")))
+    n = hot.count()
+    if n == 0:
         return long.join(table, on, how)
-    n = table.agg(F.sum(count)).first()[0] or 0
-    hot = table.where(F.col(count) * HOT_SHARE > n).select(on, F.lit(True).alias("_hot"))
-    shares = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
-    wide = table.join(F.broadcast(hot), on, "left").withColumn("_share", F.explode(shares)).drop("_hot")
-    deal = F.when(F.col("_hot"), F.pmod(F.xxhash64(*long.columns), F.lit(SPREAD)).cast("int")).otherwise(F.lit(0))
-    dealt = long.join(F.broadcast(hot), on, "left").withColumn("_share", deal).drop("_hot")
+    if n * 32 <= limit:
+        hot = F.broadcast(hot)
+    shares = F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1)
+    wide = table.join(hot, on, "left").withColumn("_share", F.explode(shares)).drop("_shares")
+    met = hot.withColumnRenamed(on, "_met")
+    deal = F.pmod(F.xxhash64(*long.columns), F.coalesce(F.col("_shares"), F.lit(1))).cast("int")
+    dealt = long.join(met, F.col(on).eqNullSafe(F.col("_met")), "left").withColumn("_share", deal).drop("_shares", "_met")
     return dealt.join(wide, [on, "_share"], how).drop("_share")
 
 
@@ -47,8 +51,4 @@ class Held:
         return Held(df, df.count())
 
     def join_to(self, long: DataFrame, on: str, how: str = "left", row_bytes: int = 64) -> DataFrame:
-        count = "n" if "n" in self.df.columns else None
-        if count is None:
-            return lookup(long, self.df, on, rows=self.rows, row_bytes=row_bytes, how=how)
-        return lookup(long, self.df.withColumnRenamed("n", f"n_{on}"), on, rows=self.rows, row_bytes=row_bytes,
-                      how=how, count=f"n_{on}")
+        return lookup(long, self.df.withColumnRenamed("n", f"n_{on}"), on, rows=self.rows, row_bytes=row_bytes, how=how)

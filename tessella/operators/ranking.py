@@ -17,13 +17,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import digest
-from ..session import cut_lineage
+from ..session import BROADCAST_LIMIT_BYTES, cut_lineage
 
 HEX = 3  # hex digits read per counting pass: at most 4,096 counts come back
-MANY = 1_000_000_000  # rows from which a rank uses one more digit, so that a bucket stays sortable
-HOT_ROWS = 1_000_000  # rows of a group that one task still orders with ease
-HOT_SHARE = 16_384  # a hot group also holds more than 1/16,384 of all rows: at most so many can
-PIECES = 4096  # hash ranges a hot group is ordered in
+HOT_ROWS = 1_000_000  # rows that one task still orders with ease: a larger group or bucket is taken apart
 SMALL = 20_000  # values fetched to settle the last step of a selection; checked by count first
 
 
@@ -33,14 +30,20 @@ def _bucket_counts(df: DataFrame, key: Column, width: int) -> list[tuple[str, in
 
 
 def hash_thresholds(df: DataFrame, key: str, seed: int, positions: Sequence[int]) -> list[str]:
-    """For each position m the digest below which exactly m rows fall.
+    """For each position m the digest below which exactly m rows fall, for a ``key`` that is unique."""
+    return [cut for cut, _ in hash_cuts(df, key, seed, positions)]
 
-    ``key`` must be unique. Each pass counts rows per digest prefix over the key column alone and
-    looks further only into the prefixes that hold a wanted position, so no row is ever shuffled.
+
+def hash_cuts(df: DataFrame, key: str, seed: int, positions: Sequence[int]) -> list[tuple[str, int]]:
+    """For each position m a digest, and how many rows of that very digest are among the first m.
+
+    All rows of smaller digests are; the number is 0 unless the key repeats. Each pass counts rows per digest prefix
+    over the key column alone and looks further only into the prefixes that hold a wanted position, so no row is ever
+    shuffled, and however often a key repeats its rows are only counted.
     """
     source = df.select(digest(seed, key).alias("h"))
     h = F.col("h")
-    found: dict[int, str] = {}
+    found: dict[int, tuple[str, int]] = {}
     open_at = {m: ("", m) for m in set(positions)}  # position -> (prefix, rank within the prefix)
     width = 0
     while open_at:
@@ -55,15 +58,19 @@ def hash_thresholds(df: DataFrame, key: str, seed: int, positions: Sequence[int]
             ends = list(accumulate(n for _, n in mine))
             i = bisect.bisect_right(ends, rank)
             if i == len(mine):  # past the last row: every digest is below
-                found[m] = "g"
+                found[m] = ("g", 0)
                 continue
             pending[m] = (mine[i][0], rank - (ends[i - 1] if i else 0))
             sizes[mine[i][0]] = mine[i][1]
-        if sum(sizes.values()) <= SMALL or width >= 32:
+        if width >= 32:  # the whole digest
+            found |= pending
+            pending = {}
+        elif sum(sizes.values()) <= SMALL:
             kept = source.where(F.substring(h, 1, width).isin(sorted(sizes))) if sizes else None
             values = sorted(r["h"] for r in kept.collect()) if kept is not None else []
             for m, (prefix, rank) in pending.items():
-                found[m] = values[bisect.bisect_left(values, prefix) + rank]
+                at = bisect.bisect_left(values, prefix) + rank
+                found[m] = (values[at], at - bisect.bisect_left(values, values[at]))
             pending = {}
         open_at = pending
     return [found[m] for m in positions]
@@ -73,13 +80,15 @@ def hash_rank(df: DataFrame, key: str, seed: int, rank: str = "rank", below: int
               only: Sequence[int] | None = None) -> DataFrame:
     """0-based rank of each row in hash order; ``below`` or ``only`` keep the ranks asked for.
 
-    Buckets with no wanted rank are filtered out before the shuffle.
+    Buckets with no wanted rank are filtered out before the shuffle. A bucket holds about ``HOT_ROWS`` rows at most,
+    however many there are; rows of a repeated key share one.
     """
     width = HEX
     keys = df.select(digest(seed, key).alias("h"))
     counts = _bucket_counts(keys, F.col("h"), width)
-    if sum(n for _, n in counts) > MANY:
-        width = HEX + 1
+    while sum(n for _, n in counts) > HOT_ROWS << 4 * width:
+        width += 1
+    if width > HEX:
         counts = _bucket_counts(keys, F.col("h"), width)
     starts = [0, *accumulate(n for _, n in counts)]
     chosen = range(len(counts))
@@ -90,7 +99,7 @@ def hash_rank(df: DataFrame, key: str, seed: int, rank: str = "rank", below: int
     spark = df.sparkSession
     offsets = spark.createDataFrame([(counts[i][0], starts[i]) for i in chosen if i < len(counts)],
                                     "_b STRING, _start BIGINT")
-    # at most 16**width rows, whatever the size of the data
+    # at most 16 rows for each HOT_ROWS rows of data
     marked = (df.withColumn("_h", digest(seed, key)).withColumn("_b", F.substring("_h", 1, width))
               .join(F.broadcast(offsets), "_b"))
     within = F.row_number().over(W.partitionBy("_b").orderBy("_h", key))
@@ -101,24 +110,25 @@ def hash_rank(df: DataFrame, key: str, seed: int, rank: str = "rank", below: int
 
 
 def hot_groups(df: DataFrame, by: str) -> DataFrame | None:
-    """The groups too large for one task to order, or None; at most ``HOT_SHARE`` rows.
+    """``by, _pieces``: the groups too large for one task to order, and the tasks each needs; None if there are none.
 
     A table of fewer rows than ``HOT_ROWS`` has none, and no group of it is counted.
     """
-    n = df.count()
-    if n <= HOT_ROWS:
+    if df.count() <= HOT_ROWS:
         return None
-    hot = df.groupBy(by).count().where(F.col("count") > max(n // HOT_SHARE, HOT_ROWS)).select(by).collect()
-    if not hot:
+    hot = cut_lineage(df.groupBy(by).count().where(F.col("count") > HOT_ROWS)
+                      .select(by, F.ceil(F.col("count") / HOT_ROWS).alias("_pieces")))
+    n = hot.count()
+    if n == 0:
         return None
-    return df.sparkSession.createDataFrame(hot, df.select(by).schema).withColumn("_hot", F.lit(True))
+    return F.broadcast(hot) if n * 64 <= BROADCAST_LIMIT_BYTES else hot
 
 
 def grouped_hash_rank(df: DataFrame, by: str, key: str, seed: int, rank: str = "rank", size: str = "size") -> DataFrame:
     """0-based rank of each row within its group in hash order, and the group's size.
 
-    Ordinary groups are one window. A hot group is ordered in ``PIECES`` hash ranges, each the work
-    of a task of its own, and the pieces are stitched together by a running count of their sizes.
+    Ordinary groups are one window. A hot group is ordered in hash ranges of about ``HOT_ROWS`` rows, each the
+    work of a task of its own, and the pieces are stitched together by a running count of their sizes.
     """
     marked = df.withColumn("_h", digest(seed, by, key))
     hot = hot_groups(df, by)
@@ -126,9 +136,9 @@ def grouped_hash_rank(df: DataFrame, by: str, key: str, seed: int, rank: str = "
         group = W.partitionBy(by)
         return marked.withColumns({rank: F.row_number().over(group.orderBy("_h", key)).cast("bigint") - 1,
                                    size: F.count(F.lit(1)).over(group)}).drop("_h")
-    piece = F.conv(F.substring("_h", 1, 3), 16, 10).cast("int")
-    marked = marked.join(F.broadcast(hot), by, "left").withColumn(
-        "_piece", F.when(F.col("_hot"), F.pmod(piece * PIECES / 4096, F.lit(PIECES)).cast("int")).otherwise(F.lit(0))).drop("_hot")
+    head = F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint")
+    marked = marked.join(hot, by, "left").withColumn(
+        "_piece", F.coalesce(F.floor(head * F.col("_pieces") / F.lit(float(1 << 32))), F.lit(0)).cast("bigint")).drop("_pieces")
     starts = (marked.groupBy(by, "_piece").agg(F.count(F.lit(1)).alias("_n"))
               .select(by, "_piece", (F.sum("_n").over(W.partitionBy(by).orderBy("_piece")) - F.col("_n")).alias("_start"),
                       F.sum("_n").over(W.partitionBy(by)).alias(size)))
@@ -171,7 +181,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], cells: int = 1024) -> dict
 
 
 def _medians(df: DataFrame, cols: list[str], cells: int) -> dict[str, float | None]:
-    near = "percentile_approx(`{c}`, array(0.49D, 0.51D), 200) AS `{c}_near`"
+    near = "percentile_approx(`{c}`, array(0.4998D, 0.5002D), 10000) AS `{c}_near`"
     first = df.agg(*[F.expr(e.format(c=c)) for c in cols for e in (
         "count(`{c}`) AS `{c}_n`", "min(`{c}`) AS `{c}_lo`", "max(`{c}`) AS `{c}_hi`", near)]).first()
     some = [c for c in cols if first[f"{c}_n"]]

@@ -6,28 +6,52 @@ Randomness is the hash order of a key, so a split is the same on every run and e
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import digest, total, uniform
-from .ranking import grouped_hash_rank, hash_rank, hash_thresholds
+from .ranking import HOT_ROWS, grouped_hash_rank, hash_cuts, hash_rank, sorted_rank
+
+
+PLACE = "_place"  # place of a row among those of its key
 
 
 def split_exact(df: DataFrame, ratio: float, seed: int = 1, key: str = "id", mark: str = "is_train") -> DataFrame:
-    """Exactly floor(ratio * n) rows get ``mark`` true."""
+    """Exactly floor(ratio * n) rows get ``mark`` true, also if a key repeats."""
     cut = int(math.floor(ratio * df.count()))
-    (limit,) = hash_thresholds(df, key, seed, [cut])
-    return df.withColumn(mark, digest(seed, key) < F.lit(limit))
+    df, (beyond,) = _beyond(df, key, seed, [cut])
+    return df.withColumn(mark, ~beyond).drop(PLACE)
 
 
 def fold_exact(df: DataFrame, k: int, seed: int = 1, key: str = "id", mark: str = "fold") -> DataFrame:
-    """k - 1 folds of floor(n / k) rows; the last takes the rest."""
+    """k - 1 folds of floor(n / k) rows; the last takes the rest. Exact also if a key repeats."""
     rows = df.count() // k
-    limits = hash_thresholds(df, key, seed, [rows * i for i in range(1, k)])
+    df, beyond = _beyond(df, key, seed, [rows * i for i in range(1, k)])
+    return df.withColumn(mark, total([b.cast("int") for b in beyond]) if beyond else F.lit(0)).drop(PLACE)
+
+
+def _beyond(df: DataFrame, key: str, seed: int, positions: list[int]) -> tuple[DataFrame, list[Column]]:
+    """Whether a row is not among the first m in hash order, for each position m.
+
+    With a unique key this compares digests, and no row moves. If a position falls between rows of one key, those rows
+    alone are ordered by a hash of their values and get their place in ``PLACE``.
+    """
+    cuts = hash_cuts(df, key, seed, positions)
     h = digest(seed, key)
-    fold = total([(h >= F.lit(t)).cast("int") for t in limits]) if limits else F.lit(0)
-    return df.withColumn(mark, fold)
+    tied = sorted({d for d, inside in cuts if inside})
+    if not tied:
+        return df, [h >= F.lit(d) for d, _ in cuts]
+    mine = df.where(h.isin(tied))
+    order = [digest(seed, key), F.xxhash64(*df.columns)]
+    sizes = {r["h"]: r["count"] for r in mine.groupBy(h.alias("h")).count().collect()}  # a row for each position at most
+    starts = dict(zip(tied, [0, *accumulate(sizes[d] for d in tied)]))
+    start = F.create_map(*[F.lit(v) for pair in starts.items() for v in pair])[h]
+    placed = sorted_rank(mine, order, PLACE).withColumn(PLACE, (F.col(PLACE) - start).cast("bigint"))
+    rest = df.where(h.isNull() | ~h.isin(tied)).withColumn(PLACE, F.lit(0).cast("bigint"))
+    both = rest.unionByName(placed.select(*rest.columns))
+    return both, [(h > F.lit(d)) | ((h == F.lit(d)) & (F.col(PLACE) >= inside)) for d, inside in cuts]
 
 
 def minibatches(df: DataFrame, size: int, batches: int = 1, seed: int = 1, key: str = "id",
@@ -36,9 +60,9 @@ def minibatches(df: DataFrame, size: int, batches: int = 1, seed: int = 1, key:
     wanted = size * batches
     if shuffle:
         ranked = hash_rank(df, key, seed, "_rank", below=wanted)
-    else:
-        from .ranking import sorted_rank
-        ranked = sorted_rank(df, [F.col(key)], "_rank").where(F.col("_rank") < wanted)
+    else:  # few rows are cut off before they are numbered; many are more than one task should gather
+        few = df.orderBy(key).limit(wanted) if wanted <= HOT_ROWS else df
+        ranked = sorted_rank(few, [F.col(key)], "_rank").where(F.col("_rank") < wanted)
     return ranked.withColumn(mark, F.floor(F.col("_rank") / size).cast("int")).drop("_rank")
 
 
@@ -88,7 +112,6 @@ def active_only(ratings: DataFrame, least: int) -> DataFrame:
 
 def activity(ratings: DataFrame, key: str) -> DataFrame:
     """Ratings per user or item with their place in descending order, most active first."""
-    from .ranking import sorted_rank
     counts = ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return sorted_rank(counts, [F.col("n").desc(), F.col(key)], "place")
 

@@ -35,7 +35,6 @@ def test_hash_rank_is_a_permutation_and_keeps_only_what_is_asked(spark):
 def test_grouped_rank_of_a_hot_group(spark, monkeypatch, hot_rows):
     # one user holds most of the rows
     monkeypatch.setattr(rk, "HOT_ROWS", hot_rows)
-    monkeypatch.setattr(rk, "PIECES", 32)
     rows = spark.range(2000).select(F.when(F.col("id") < 1900, 0).otherwise(F.col("id") % 5).alias("user"), F.col("id").alias("item"))
     got = rk.grouped_hash_rank(rows, "user", "item", 3).toPandas()
     assert len(got) == 2000
@@ -115,3 +114,18 @@ def test_activity_filter_is_one_pass(spark):
     rows = [(1, 9, 1.0), (1, 8, 1.0), (2, 8, 1.0), (2, 7, 1.0), (5, 9, 1.0)]
     got = splits.active_only(spark.createDataFrame(rows, "user INT, item INT, rating DOUBLE"), 2).collect()
     assert sorted((r["user"], r["item"]) for r in got) == [(1, 8), (1, 9), (2, 8)]
+
+
+def test_splits_and_folds_are_exact_on_a_repeated_key(spark):
+    df = spark.range(400).select((F.col("id") % 100).alias("id"), F.col("id").alias("row"))
+    assert splits.split_exact(df, 0.8075).where("is_train").count() == 323
+    assert sorted(r["count"] for r in splits.fold_exact(df, 7).groupBy("fold").count().collect()) == [57] * 6 + [58]
+    hot = spark.range(300).select(F.when(F.col("id") < 200, 7).otherwise(F.col("id")).alias("id"), F.lit(1).alias("same"))
+    marked = splits.split_exact(hot, 0.5)
+    assert marked.where("is_train").count() == 150 and marked.count() == 300 and marked.columns == ["id", "same", "is_train"]
+
+
+def test_a_hot_group_is_ordered_in_pieces_of_the_target_size(spark, monkeypatch):
+    monkeypatch.setattr(rk, "HOT_ROWS", 100)
+    rows = spark.range(3000).select(F.when(F.col("id") < 2900, 0).otherwise(F.col("id") % 5 + 1).alias("user"), F.col("id").alias("item"))
+    assert [tuple(r) for r in rk.hot_groups(rows, "user").collect()] == [(0, 29)]

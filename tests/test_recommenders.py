@@ -116,11 +116,11 @@ def test_mean_models_on_unseen_ids(spark, skewed):
 
 @pytest.mark.parametrize("limit", [0, 1 << 30])
 def test_lookup_splits_hot_keys_and_loses_nothing(spark, monkeypatch, limit):
-    monkeypatch.setattr(lookup, "HOT_SHARE", 4)
+    monkeypatch.setattr(lookup, "TASK_ROWS", 100)
     long = spark.range(3000).select(F.when(F.col("id") < 2000, 1).otherwise(F.col("id") % 50).cast("int").alias("k"), "id")
     table = long.groupBy("k").count().withColumnRenamed("count", "n").withColumn("v", F.col("k") * 10)
     for how in ("left", "inner"):
-        got = lookup.lookup(long, table.where("k != 7"), "k", rows=50, how=how, count="n", limit=limit).toPandas()
+        got = lookup.lookup(long, table.where("k != 7"), "k", rows=50, how=how, limit=limit).toPandas()
         assert len(got) == (3000 if how == "left" else 3000 - (long.where("k = 7").count()))
         assert not got.duplicated("id").any()
         seen = got[got["k"] != 7]
@@ -154,8 +154,7 @@ def test_weighted_als_at_full_rank(spark, skewed, monkeypatch, hot, small):
     train, pdf = skewed
     monkeypatch.setattr(factors, "_is_small", lambda *_: small)  # too large to broadcast: lay out after the join
     if hot:  # deal the busy user and the popular item to several tasks
-        monkeypatch.setattr(factors, "HOT_SHARE", 20)
-        monkeypatch.setattr(WeightedAls, "_layout", _eager_layout(WeightedAls._layout))
+        monkeypatch.setattr(factors, "TASK_ROWS", 20)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # rows of a key run across batches
     try:
         model = WeightedAls(rank=5, stop=0.0, max_sweeps=3)
@@ -167,10 +166,24 @@ def test_weighted_als_at_full_rank(spark, skewed, monkeypatch, hot, small):
     assert np.allclose(got.to_numpy(), [p[u] @ q[i] for u, i in got.index])
 
 
-def _eager_layout(original):
-    def layout(self, ratings, table, key, n):
-        return original(self, ratings, table.withColumn("n", F.col("n") * 100_000), key, n * 100_000)
-    return layout
+def test_lookup_deals_what_the_joined_table_holds(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "TASK_ROWS", 100)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:  # a cold key of the table that the pairs ask for most of the time, and rows without a key
+        long = spark.range(4000).select(F.when(F.col("id") < 3000, 1).when(F.col("id") < 3500, None)
+                                        .otherwise(F.col("id")).alias("k"), "id")
+        table = spark.createDataFrame([(1, 10.0), (3600, 5.0)], "k BIGINT, v DOUBLE")
+        got = lookup.lookup(long, table, "k", rows=2, limit=64 * 32)  # the hot keys fit, the table is said not to
+        plain = lookup.lookup(long, table, "k", rows=1 << 30)
+        sizes = [r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect()]
+        assert got.count() == plain.count() == 4000 and plain.where("v is null").count() == 999
+        assert max(sizes) <= 600
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_als_stops_on_small_change(skewed):
