@@ -19,6 +19,7 @@ from ..functions.scalars import number
 from ..session import checkpoint_root, cut_lineage
 from .lookup import TASK_ROWS, Held
 from .means import Recommender, global_mean
+from .ranking import sorted_rank
 
 USER, ITEM = 0, 1
 ROWS_PER_TASK = 1_000_000
@@ -350,20 +351,41 @@ class LibraryAls(Recommender):
     def fit(self, ratings: DataFrame) -> LibraryAls:
         from pyspark.ml.recommendation import ALS
         checkpoint_root(ratings.sparkSession)  # the library cuts its lineage there
-        als = ALS(rank=self.rank, maxIter=self.epochs, regParam=self.lam, seed=self.seed, userCol="user",
-                  itemCol="item", ratingCol="rating", coldStartStrategy="drop")
-        self.model = als.fit(ratings)
+        # the library takes 32-bit ids only: others are numbered
+        low, high = (ratings.agg(f(*[g(c) for c in ("user", "item")])).first()[0] for f, g in ((F.least, F.min), (F.greatest, F.max)))
+        self.numbers = None
+        if low is not None and (low < -(1 << 31) or high >= 1 << 31):
+            self.numbers = {k: Held.of(sorted_rank(ratings.select(k).distinct(), [F.col(k)], f"_{k}")) for k in ("user", "item")}
+        als = ALS(rank=self.rank, maxIter=self.epochs, regParam=self.lam, seed=self.seed, userCol="_user",
+                  itemCol="_item", ratingCol="rating", coldStartStrategy="drop")
+        self.model = als.fit(self._numbered(ratings).select("_user", "_item", "rating"))
         return self
 
+    def _numbered(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with 32-bit ids; those of unseen users and items are no numbers of the model."""
+        if self.numbers is None:
+            fits = F.lit(True)
+            for k in ("user", "item"):
+                fits = fits & F.col(k).between(-(1 << 31), (1 << 31) - 1)
+            return rows.where(fits).withColumns({f"_{k}": F.col(k).cast("int") for k in ("user", "item")})
+        for k in ("user", "item"):
+            rows = self.numbers[k].join_to(rows, k, "inner")
+        return rows.withColumns({f"_{k}": F.col(f"_{k}").cast("int") for k in ("user", "item")})
+
     def raw(self, pairs: DataFrame) -> DataFrame:
         """Scores only the wanted pairs instead of every user times every item."""
-        return self.model.transform(pairs).select(*pairs.columns, F.col("prediction").cast("double"))
+        return self.model.transform(self._numbered(pairs)).select(*pairs.columns, F.col("prediction").cast("double"))
 
     def recommend(self, n: int) -> DataFrame:
         """The n best items of every user, one row each."""
         recs = self.model.recommendForAllUsers(n)
-        return recs.select("user", F.explode("recommendations").alias("r")).select(
-            "user", "r.item", F.col("r.rating").cast("double").alias("rating"))
+        out = recs.select("_user", F.explode("recommendations").alias("r")).select(
+            "_user", "r._item", F.col("r.rating").cast("double").alias("rating"))
+        if self.numbers is None:
+            return out.select(F.col("_user").alias("user"), F.col("_item").alias("item"), "rating")
+        for k in ("user", "item"):
+            out = self.numbers[k].join_to(out, f"_{k}", "inner")
+        return out.select("user", "item", "rating")
 
 
 def top_n(scored: DataFrame, n: int, score: str = "prediction") -> DataFrame:

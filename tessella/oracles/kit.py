@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 RATINGS = """r as materialized (
   select u, i, (case when v < 11 then 1 when v < 26 then 2 when v < 46 then 3 when v < 80 then 4 else 5 end)::double as r
-  from (select user_id::int as u, json_extract_string(props, '$.k')::int as i, max_by(value, event_id) as v
+  from (select user_id::bigint as u, json_extract_string(props, '$.k')::bigint as i, max_by(value, event_id) as v
         from events group by 1, 2))"""
 
 FEATURES = """f as materialized (

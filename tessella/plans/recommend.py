@@ -9,10 +9,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.blending import align, best_subset, evaluate_subsets, weigh
+from ..operators.blending import align, best_subset, evaluate_subsets, weigh_all
 from ..operators.cocluster import CoClustering
 from ..operators.factors import GradientFactors, LibraryAls
-from ..operators.means import EntityMean, Recommender
+from ..operators.means import EntityMean, Recommender, global_mean
 from ..operators.neighbours import Neighbours, SlopeOne
 from ..operators.splits import parts, split_per_user
 from ..session import cut_lineage, scratch_path
@@ -52,35 +52,47 @@ def predict_all(train: DataFrame, pairs: DataFrame, models: Mapping[str, Callabl
 
 @dataclass
 class Blend:
+    """The best subset, its error on ``scored`` test cells, and how many test cells some model left out.
+
+    ``fallen_back`` counts the wanted pairs that the best subset doesn't predict in full: they are answered by the best
+    subset of the models that do, and ``unanswered`` ones among them, which no model predicts, by the mean rating.
+    """
+
     members: list[str]
     weights: list[float]
     rmse: float
     scored: int
     incomplete: int
+    fallen_back: int
+    unanswered: int
     subsets: DataFrame
     submission: DataFrame
 
 
-def blend(testing: DataFrame, test_predictions: DataFrame, submission_predictions: DataFrame, models: list[str],
-          lam: float = 0.001) -> Blend:
-    """The best subset on the held-out ratings, applied to the wanted pairs.
+def blend(testing: DataFrame, test_predictions: DataFrame, wanted: DataFrame, wanted_predictions: DataFrame,
+          models: list[str], mean: float, lam: float = 0.001) -> Blend:
+    """The best subset on the held-out ratings, applied to the wanted pairs: one row for each distinct pair, none NULL.
 
-    Rows are matched by (user, item). Test cells that some model leaves out are counted as incomplete.
+    Rows are matched by (user, item). Test cells that some model leaves out are counted as incomplete. ``mean`` answers
+    a wanted pair that no model predicts.
     """
     wide = cut_lineage(align(test_predictions, models).join(testing.select("user", "item", "rating"), ["user", "item"]))
     evaluated = cut_lineage(evaluate_subsets(wide, models, lam=lam))
     top = best_subset(evaluated).first()
-    wanted = submission_predictions.where(F.col("model").isin(top["members"]))
-    stars = weigh(align(wanted, top["members"]), top["members"], top["weights"])
-    return Blend(top["members"], top["weights"], top["rmse"], top["n"], testing.count() - top["n"], evaluated, stars)
+    pairs = wanted.select("user", "item").distinct().join(align(wanted_predictions, models), ["user", "item"], "left")
+    stars = cut_lineage(weigh_all(cut_lineage(pairs), models, evaluated, mean))
+    missed = stars.agg(F.count_if(F.col("mask") != top["mask"]).alias("fallen"), F.count_if(F.col("mask") == 0).alias("none")).first()
+    return Blend(top["members"], top["weights"], top["rmse"], top["n"], testing.count() - top["n"], missed["fallen"],
+                 missed["none"], evaluated, stars.drop("mask"))
 
 
 def recommend(ratings: DataFrame, wanted: DataFrame, models: Mapping[str, Callable[[], Recommender]] | None = None,
               ratio: float = 0.9, seed: int = 988, lam: float = 0.001) -> tuple[Blend, DataFrame]:
     """The blend and the final upstream table ``Id, Prediction`` for the wanted pairs."""
     models = models or MODELS
+    ratings, wanted = cut_lineage(ratings), cut_lineage(wanted.select("user", "item").distinct())  # read by every model
     train, test = parts(cut_lineage(split_per_user(ratings, ratio, seed)))
     on_test = predict_all(train, test, models)
     on_wanted = predict_all(ratings, wanted, models)
-    chosen = blend(test, on_test, on_wanted, list(models), lam)
+    chosen = blend(test, on_test, wanted, on_wanted, list(models), global_mean(ratings), lam)
     return chosen, denormalise(chosen.submission, "prediction")

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from ..operators import blending
-from ..operators.means import EntityMean
+from ..operators.means import EntityMean, global_mean
 from ..operators.neighbours import SlopeOne
+from ..operators.splits import parts, split_per_user
 from ..oracles import kit as k
 from ..oracles import recommenders as rec
 from ..plans.recommend import predict_all, recommend
@@ -26,23 +27,25 @@ def _models(train, pairs, name):
             f"join (select i, avg(r) as im from {train} group by i) using (i) join {name}_so using (u, i))"]
 
 
-def _subsets():
-    out = [k.RATINGS, k.SPLIT, _WANTED, *_models("tr", "te", "d"), k.moment_cte("m", "d", 3, y="r")]
+def _subsets(predicted, names):
+    """CTEs up to ``ev`` (all subsets) and ``be`` (the best), given those of ``d`` with the models' x0.. on the test cells."""
+    count = len(names)
+    out = [k.RATINGS, k.SPLIT, _WANTED, *predicted, k.moment_cte("m", "d", count, y="r")]
     rows = []
-    for mask in range(1, 8):
-        idx = [c for c in range(3) if mask >> c & 1]
+    for mask in range(1, 1 << count):
+        idx = [c for c in range(count) if mask >> c & 1]
         out += k.solve_ctes(f"s{mask}", "m", len(idx), diag="2 * n * 0.001::double",
                             left=lambda a, b, idx=idx: f"s{min(idx[a], idx[b])}_{max(idx[a], idx[b])}", right=lambda a, idx=idx: f"t{idx[a]}")
-        ws = ", ".join(f"w{idx.index(c)} as w{c}" if c in idx else f"0.0::double as w{c}" for c in range(3))
-        rows.append(f"select {mask}::int as mask, {len(idx)}::int as size, '{'+'.join(NAMES[c] for c in idx)}' as members, {ws} from s{mask}")
+        ws = ", ".join(f"w{idx.index(c)} as w{c}" if c in idx else f"0.0::double as w{c}" for c in range(count))
+        rows.append(f"select {mask}::bigint as mask, {len(idx)}::int as size, '{'+'.join(names[c] for c in idx)}' as members, {ws} from s{mask}")
     out.append("ws as materialized (" + " union all ".join(rows) + ")")
-    out.append(f"ev as materialized (select mask, size, members, any_value(w0) as w0, any_value(w1) as w1, any_value(w2) as w2, "
-               f"sqrt(avg(pow(r - {k.star(k.score(3))}, 2))) as rmse from d, ws group by mask, size, members)")
+    out.append(f"ev as materialized (select mask, size, members, {', '.join(f'any_value(w{c}) as w{c}' for c in range(count))}, "
+               f"sqrt(avg(pow(r - {k.star(k.score(count))}, 2))) as rmse from d, ws group by mask, size, members)")
     out.append("be as materialized (select * from ev order by rmse, mask limit 1)")
     return out
 
 
-_EV = _subsets()
+_EV = _subsets(_models("tr", "te", "d"), NAMES)
 _SHOW = f"mask, size, members, {k.r6('rmse')} as rmse"
 
 
@@ -87,3 +90,38 @@ def blend_apply(spark, sf):
 def recommend_workflow(spark, sf):
     """Split, train twice, blend, write the upstream form."""
     return recommend(views.ratings(spark, sf), wanted_pairs(spark, sf), MODELS)[1]
+
+
+COLD = {"User-Mean": lambda: EntityMean("user"), "Item-Mean": lambda: EntityMean("item")}
+
+
+def _means(train, pairs, name, how):
+    return (f"{name} as materialized (select q.*, um as x0, im as x1 from {pairs} q {how} join (select u, avg(r) as um from {train} "
+            f"group by u) using (u) {how} join (select i, avg(r) as im from {train} group by i) using (i))")
+
+
+_COLD = [*_subsets([_means("tr", "te", "d", "")], list(COLD)),
+         "cold as (select distinct u + case when u % 4 in (1, 3) then 1000000 else 0 end as u, "
+         "i + case when u % 4 in (2, 3) then 1000000 else 0 end as i from wanted)",
+         _means("r", "cold", "a", "left"),
+         "hb as (select have, mask, w0, w1 from (select unnest([1, 2, 3])::bigint as have) join ev on mask & have = mask "
+         "qualify row_number() over (partition by have order by rmse, mask) = 1)",
+         "al as (select *, ((x0 is not null)::int + 2 * (x1 is not null)::int)::bigint as have from a)"]
+
+
+@query(k.sql(f"""select u as "user", i as item, coalesce(mask, 0)::bigint as mask,
+  {k.star("coalesce(case when w0 = 0 then 0 else x0 * w0 end + case when w1 = 0 then 0 else x1 * w1 end, mu)")}::int as prediction
+  from al left join hb using (have), (select avg(r) as mu from r)""", *_COLD))
+def blend_apply_cold(spark, sf):
+    """Wanted pairs with unseen users, unseen items or both: each gets the best subset of the models that know it."""
+    ratings = cut_lineage(views.ratings(spark, sf))
+    train, test = parts(cut_lineage(split_per_user(ratings)))
+    wide = blending.align(predict_all(train, test, COLD), list(COLD)).join(test, ["user", "item"])
+    evaluated = cut_lineage(blending.evaluate_subsets(cut_lineage(wide), list(COLD)))
+    far = F.lit(1_000_000)
+    kind = F.pmod("user", F.lit(4))
+    cold = wanted_pairs(spark, sf).select((F.col("user") + F.when(kind.isin(1, 3), far).otherwise(0)).alias("user"),
+                                          (F.col("item") + F.when(kind.isin(2, 3), far).otherwise(0)).alias("item"))
+    cold = cut_lineage(cold.distinct())
+    known = cold.join(blending.align(predict_all(ratings, cold, COLD), list(COLD)), ["user", "item"], "left")
+    return blending.weigh_all(cut_lineage(known), list(COLD), evaluated, global_mean(ratings))

@@ -177,7 +177,7 @@ def grid_search_ridge(spark, sf):
                                  "config INT, error DOUBLE, accuracy DOUBLE")
 
 
-@query(k.sql(f"select id::int as \"Id\", {_LABEL} as \"Prediction\" from d, w", *_RIDGE))
+@query(k.sql(f"select id::bigint as \"Id\", {_LABEL} as \"Prediction\" from d, w", *_RIDGE))
 def predict_workflow(spark, sf):
     """Fit on the labelled table, then the same preparation and the chosen weights on the whole table."""
     table = nulled(spark, sf)
@@ -215,7 +215,7 @@ def segmented_ridge(spark, sf):
     return _segmented(spark, sf).accuracies().withColumn("accuracy", r6(F.col("accuracy")))
 
 
-@query(k.sql("select id::int as \"Id\", p::int as \"Prediction\" from pr", *_segment_sql()))
+@query(k.sql("select id::bigint as \"Id\", p::int as \"Prediction\" from pr", *_segment_sql()))
 def segmented_predictions(spark, sf):
     return _segmented(spark, sf).predict(nulled(spark, sf))
 

@@ -33,7 +33,7 @@ def subsample_head(spark, sf):
     return fs.head_sample(views.features(spark, sf).select("id", "label", r9(F.col("f0")).alias("f0")))
 
 
-@query(k.sql("select id::int as \"Id\", case when f0 > 2.5 then 1 else -1 end as \"Prediction\" from f", k.FEATURES))
+@query(k.sql("select id::bigint as \"Id\", case when f0 > 2.5 then 1 else -1 end as \"Prediction\" from f", k.FEATURES))
 def submission_classes(spark, sf):
     binary = views.features(spark, sf).select("id", F.when(F.col("f0") > 2.5, 1.0).otherwise(0.0).alias("prediction"))
     return fs.submission(binary)
@@ -60,27 +60,28 @@ def denormalize_predictions(spark, sf):
     return rs.denormalise(views.ratings(spark, sf).withColumn("rating", F.col("rating") * 0.9))
 
 
-@query("""with log as (select user_id::int as u, json_extract_string(props, '$.k')::int as i, event_id,
+@query("""with log as (select user_id::bigint as u, json_extract_string(props, '$.k')::bigint as i, event_id,
                   case when event_type = 'view' then 0 else value end as rating from events)
 select u as "user", i as item, round(max_by(rating, event_id), 6) as rating from log
 group by 1, 2 having max_by(rating, event_id) <> 0""")
 def ratings_dedup(spark, sf):
     ev = spark.read.parquet(f"{sf}/events.parquet")
-    log = ev.select(F.col("user_id").cast("int").alias("user"), F.get_json_object("props", "$.k").cast("int").alias("item"),
+    log = ev.select(F.col("user_id").cast("bigint").alias("user"), F.get_json_object("props", "$.k").cast("bigint").alias("item"),
                     "event_id", F.when(F.col("event_type") == "view", 0.0).otherwise(F.col("value")).alias("rating"))
     return rs.last_write(log, "event_id").withColumn("rating", r6(F.col("rating")))
 
 
 _MEANS = (k.RATINGS, k.SPLIT, """pr as (
-  select 'User-Mean' as model, u, i, m as p from te join (select u, avg(r) as m from tr group by u) using (u)
-  union all select 'Item-Mean', u, i, m from te join (select i, avg(r) as m from tr group by i) using (i))""")
+  select 'User-Mean' as model, u, i, m as p from te left join (select u, avg(r) as m from tr group by u) using (u)
+  union all select 'Item-Mean', u, i, m from te left join (select i, avg(r) as m from tr group by i) using (i))""")
 
 
 def mean_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """A row for each model and test cell; unseen users and items have no prediction."""
     train, test = parts(split_per_user(views.ratings(spark, sf)))
     out = [EntityMean(key).fit(train).transform(test).select(F.lit(name).alias("model"), "user", "item", "prediction")
            for name, key in (("User-Mean", "user"), ("Item-Mean", "item"))]
-    return out[0].unionByName(out[1]).where(F.col("prediction").isNotNull())
+    return out[0].unionByName(out[1])
 
 
 @query(k.sql(f"select model, u as \"user\", i as item, {k.r6('p')} as prediction from pr", *_MEANS))

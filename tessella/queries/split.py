@@ -52,12 +52,14 @@ def split_holdout_replacement(spark, sf):
     return splits.holdout_with_replacement(views.ratings(spark, sf)).select("user", "item", "rating", "is_test")
 
 
-_WANTED = "wanted as (select distinct u, (i + 1) % 100 as i from r)"
+_WANTED = "wanted as (select distinct u, (i + 1) % (select max(i) + 1 from r) as i from r)"
 
 
 def wanted_pairs(spark, sf):
     """One wanted pair per rating: the next item id for the same user."""
-    return views.ratings(spark, sf).select("user", F.pmod(F.col("item") + 1, F.lit(100)).alias("item")).distinct()
+    rows = views.ratings(spark, sf)
+    items = (rows.agg(F.max("item")).first()[0] or 0) + 1
+    return rows.select("user", F.pmod(F.col("item") + 1, F.lit(items)).alias("item")).distinct()
 
 
 @query(k.sql("select u as \"user\", i as item, r as rating from r join wanted using (u, i)", k.RATINGS, _WANTED))

@@ -41,7 +41,7 @@ def submission(df: DataFrame, key: str = "id", prediction: str = "prediction") -
     """Integer classes in {-1, 1}; the logistic class 0 is written as -1."""
     p = F.col(prediction)
     return df.select(
-        F.col(key).cast("int").alias("Id"),
+        F.col(key).cast("bigint").alias("Id"),
         F.when(p == 0, F.lit(-1)).otherwise(p.cast("int")).alias("Prediction"),
     )
 

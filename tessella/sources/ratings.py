@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TRIPLET = "user INT, item INT, rating DOUBLE"
+TRIPLET = "user BIGINT, item BIGINT, rating DOUBLE"
 UPSTREAM = "Id STRING, Prediction DOUBLE"
 _ID = r"^r(\d+)_c(\d+)$"
 
@@ -19,7 +19,7 @@ def read_upstream(spark: SparkSession, path: str) -> DataFrame:
 def normalise(upstream: DataFrame, row: str = "user", col: str = "item") -> DataFrame:
     """``r44_c1`` becomes (43, 0); give ``row='item', col='user'`` for item-major files."""
     def part(g: int) -> Column:
-        return F.regexp_extract("Id", _ID, g).cast("int") - 1
+        return F.regexp_extract("Id", _ID, g).cast("bigint") - 1
 
     named = upstream.select(part(1).alias(row), part(2).alias(col),
                             F.col("Prediction").cast("double").alias("rating"))
@@ -68,7 +68,7 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_prediction_files(spark: SparkSession, path: str) -> DataFrame:
     """A folder of triplet CSVs, one file (or one sub-folder of parts) per model, named after the model."""
-    raw = spark.read.csv(path, header=True, schema="user INT, item INT, prediction DOUBLE",
+    raw = spark.read.csv(path, header=True, schema="user BIGINT, item BIGINT, prediction DOUBLE",
                          recursiveFileLookup=True)
     # ``<model>.csv`` itself, or ``<model>.csv/part-...`` as Spark writes it
     name = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))),

@@ -14,8 +14,8 @@ SEGMENT = "f2"
 def ratings(spark: SparkSession, sf: str) -> DataFrame:
     """Explicit ratings 1..5 from the event stream: the latest value of each (user, item)."""
     ev = spark.read.parquet(f"{sf}/events.parquet")
-    item = F.get_json_object("props", "$.k").cast("int")
-    cells = (ev.groupBy(F.col("user_id").cast("int").alias("user"), item.alias("item"))
+    item = F.get_json_object("props", "$.k").cast("bigint")
+    cells = (ev.groupBy(F.col("user_id").cast("bigint").alias("user"), item.alias("item"))
              .agg(F.max_by("value", "event_id").alias("v")))
     v = F.col("v")
     level = F.when(v < 11, 1.0).when(v < 26, 2.0).when(v < 46, 3.0).when(v < 80, 4.0).otherwise(5.0)

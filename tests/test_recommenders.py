@@ -262,8 +262,12 @@ def test_blend_equals_numpy_and_reports_incomplete_rows(spark):
     test = spark.createDataFrame([(i, 0, float(v)) for i, v in enumerate(y)], TRIPLET)
     long = [(n, i, 0, float(x[i, c])) for c, n in enumerate(names) for i in range(60) if not (n == "noise" and i == 5)]
     preds = spark.createDataFrame(long, "model STRING, user INT, item INT, prediction DOUBLE")
-    got = plan.blend(test, preds, preds, names)
-    assert (got.scored, got.incomplete) == (59, 1)
+    wanted = test.select("user", "item").union(spark.createDataFrame([(77, 0), (77, 0)], "user BIGINT, item BIGINT"))
+    got = plan.blend(test, preds, wanted, preds, names, 2.2)
+    assert (got.scored, got.incomplete, got.unanswered) == (59, 1, 1)
+    assert got.fallen_back == 1 + ("noise" in got.members)
+    answers = {r["user"]: r["prediction"] for r in got.submission.collect()}
+    assert len(answers) == got.submission.count() == 61 and None not in answers.values() and answers[77] == 2
     keep = np.arange(60) != 5
     want = {}
     for mask in blending.subsets(3):
@@ -278,10 +282,31 @@ def test_blend_equals_numpy_and_reports_incomplete_rows(spark):
     assert sizes == pytest.approx({s: min(v for m, v in want.items() if m.bit_count() == s) for s in (1, 2, 3)})
 
 
-def test_too_many_models_are_refused():
-    with pytest.raises(ValueError):
-        blending.subsets(40)
-    assert blending.subsets(3, least=3) == [7]
+def test_subsets_are_scored_in_slices(spark, monkeypatch):
+    assert blending.subsets(3, least=3) == [7] and len(blending.subsets(17)) == (1 << 17) - 1
+    rng = np.random.default_rng(1)
+    wide = spark.createDataFrame([tuple(map(float, r)) for r in rng.uniform(1, 5, (40, 5))], "rating DOUBLE, a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE")
+    whole = {r["mask"]: r for r in blending.evaluate_subsets(wide, list("abcd")).collect()}
+    monkeypatch.setattr(blending, "SLICE", 4)
+    assert {r["mask"]: r for r in blending.evaluate_subsets(wide, list("abcd")).collect()} == whole and len(whole) == 15
+
+
+def test_every_wanted_pair_is_answered(spark, skewed):
+    train, pdf = skewed
+    seen = train.select("user", "item").limit(1)
+    wanted = seen.union(spark.createDataFrame([(9999, 1), (9999, 9999)], "user BIGINT, item BIGINT"))
+    chosen, final = plan.recommend(train, wanted, {"ALS": lambda: LibraryAls(rank=2, epochs=2)}, ratio=0.8)
+    assert final.count() == 3 and final.where("Prediction is null").count() == 0
+    assert (chosen.fallen_back, chosen.unanswered) == (2, 2)
+
+
+def test_large_ids(spark, skewed):
+    train, _ = skewed
+    far = train.select((F.col("user") + 3_000_000_000).alias("user"), (F.col("item") + 3_000_000_000).alias("item"), "rating")
+    model = LibraryAls(rank=2, epochs=2).fit(far)
+    pairs = far.select("user", "item")
+    assert model.transform(pairs).count() == pairs.count() and model.recommend(2).agg(F.min("user")).first()[0] >= 3_000_000_000
+    assert model.transform(pairs.withColumn("item", F.lit(5))).count() == 0
 
 
 def test_all_twelve_models_run_and_blend(spark, split, monkeypatch):
