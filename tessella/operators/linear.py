@@ -21,6 +21,7 @@ from .ranking import hash_rank
 
 STOP_BELOW = 1e-8  # change of the penalised logistic loss that ends the descent
 WIDE = 12  # columns from which a logistic pass runs on Arrow batches
+GRID_CELLS = 1 << 19  # rows x settings of one product inside a task
 
 
 @dataclass
@@ -62,30 +63,46 @@ def descend(m: Moments, cols: Sequence[str], w0: np.ndarray, steps: int, gamma:
     return Linear(list(cols), w, loss, steps)
 
 
-def descend_stochastic(df: DataFrame, cols: Sequence[str], y: str, w0: np.ndarray, steps: int, gamma: float,
-                       seed: int = 1, key: str = "id") -> Linear:
-    """One uniformly drawn row per step; the loss is that of the last drawn row before its step.
+def draw_batches(df: DataFrame, cols: Sequence[str], y: str, steps: int, batch: int = 1, seed: int = 1,
+                 key: str = "id") -> list[Moments]:
+    """The moments of ``batch`` uniformly drawn rows for each of ``steps`` steps, drawn with replacement.
 
-    Draws are ranks in hash order. Only the hash buckets that hold a drawn rank are shuffled, and at
-    most ``steps`` rows come back for the sequential fold. Rows with a gap are never drawn.
+    Draws are ranks in hash order. Only the hash buckets that hold a drawn rank are shuffled. Single rows come back as
+    they are, at most ``steps`` of them; of larger batches the moments do. Rows with a gap are never drawn.
     """
     import hashlib
 
     df = complete_rows(df, [y, *cols])
     n = df.count()
-    draws = []
-    for t in range(1, steps + 1):
-        head = hashlib.md5(f"{seed}:{t}".encode()).hexdigest()[:8]
-        draws.append(int(int(head, 16) / 4294967296.0 * n))
-    ranked = hash_rank(df.select(key, y, *cols), key, seed, "_rank", only=draws)
-    at = {r["_rank"]: (np.array([r[c] for c in cols], float), float(r[y])) for r in ranked.collect()}
+
+    def draw(*at: int) -> int:
+        return int(int(hashlib.md5(":".join(map(str, (seed, *at))).encode()).hexdigest()[:8], 16) / 4294967296.0 * n)
+
+    draws = [(t, draw(t, b) if b else draw(t)) for t in range(1, steps + 1) for b in range(batch)]
+    ranked = hash_rank(df.select(key, y, *cols), key, seed, "_rank", only=[r for _, r in draws])
+    if batch == 1:
+        at = {r["_rank"]: (np.array([r[c] for c in cols], float), float(r[y])) for r in ranked.collect()}
+        rows = [at[rank] for _, rank in draws]
+        return [Moments(1.0, np.outer(x, x), x * target, target * target) for x, target in rows]
+    dealt = ranked.join(df.sparkSession.createDataFrame(draws, "_step INT, _rank BIGINT"), "_rank")
+    by = moments(dealt, cols, y, by="_step")
+    return [by[t] for t in range(1, steps + 1)]
+
+
+def descend_drawn(drawn: Sequence[Moments], cols: Sequence[str], w0: np.ndarray, gamma: float) -> Linear:
+    """One step of descent for each drawn batch; the loss is that of the last batch before its step."""
     w, loss = np.array(w0, float), float("nan")
-    for d in draws:
-        x, target = at[d]
-        e = target - x @ w
-        loss = e * e / 2
-        w = w + gamma * e * x
-    return Linear(list(cols), w, loss, steps)
+    for m in drawn:
+        loss = m.sse(w) / m.n / 2
+        with np.errstate(over="ignore", invalid="ignore"):
+            w = w - gamma * (m.xx @ w - m.xy) / m.n
+    return Linear(list(cols), w, loss, len(drawn))
+
+
+def descend_stochastic(df: DataFrame, cols: Sequence[str], y: str, w0: np.ndarray, steps: int, gamma: float,
+                       seed: int = 1, key: str = "id", batch: int = 1) -> Linear:
+    """Stochastic descent on half the mean squared error of ``batch`` drawn rows in each step."""
+    return descend_drawn(draw_batches(df, cols, y, steps, batch, seed, key), cols, w0, gamma)
 
 
 def _logistic_pass(df: DataFrame, cols: list[str], y: str, w: np.ndarray,
@@ -155,6 +172,77 @@ def logistic(df: DataFrame, cols: Sequence[str], y: str, w0: np.ndarray, steps:
     return Linear(cols, w, float(loss), done)
 
 
+def _grid_pass(df: DataFrame, cols: list[str], y: str, part: str, w: np.ndarray, held: np.ndarray,
+               curvature: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+    """For each column of ``w``: loss, gradient and Hessian over the rows outside its held-out part, and the loss in it."""
+    d, many = w.shape
+    per = 2 + d + (d * d if curvature else 0)
+    step = max(1, GRID_CELLS // many)
+
+    def partial(batches):
+        out = np.zeros((many, per))
+        for b in batches:
+            xs = np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in cols])
+            ts, ps = (b.column(c).to_numpy(zero_copy_only=False) for c in (y, part))
+            for at in range(0, len(xs), step):
+                x, t = xs[at:at + step], ts[at:at + step, None]
+                inside = ps[at:at + step, None] == held
+                with np.errstate(all="ignore"):  # a diverged setting has no finite loss
+                    u = x @ w
+                    s = 1.0 / (1.0 + np.exp(-np.clip(u, -1000.0, 1000.0)))
+                    loss = np.maximum(u, 0) + np.log1p(np.exp(-np.abs(u))) - t * u
+                    out[:, 0] += np.where(inside, 0.0, loss).sum(axis=0)
+                    out[:, 1] += np.where(inside, loss, 0.0).sum(axis=0)
+                    out[:, 2:2 + d] += np.where(inside, 0.0, s - t).T @ x
+                    for k in range(many if curvature else 0):
+                        weight = np.where(inside[:, k], 0.0, s[:, k] * (1 - s[:, k]))
+                        out[k, 2 + d:] += (x.T @ (x * weight[:, None])).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size, dtype=np.int32)), pa.array(out.ravel())],
+                                         names=["i", "v"])
+
+    v = np.zeros(many * per)
+    for r in df.mapInArrow(partial, "i INT, v DOUBLE").groupBy("i").agg(F.sum("v").alias("v")).collect():
+        v[r["i"]] = r["v"]
+    v = v.reshape(many, per)
+    return v[:, 0], v[:, 2:2 + d].T, v[:, 1], v[:, 2 + d:].reshape(many, d, d) if curvature else None
+
+
+def logistic_grid(df: DataFrame, cols: Sequence[str], y: str, w0: np.ndarray, steps: int,
+                  settings: Sequence[tuple[float, float, int]], part: str, *, newton: bool = False,
+                  stop: float | None = None) -> list[tuple[Linear, float]]:
+    """What ``logistic`` gives for each (gamma, lambda, held-out part), and the loss in that part.
+
+    All settings move together: a step is one pass over the rows for the D x settings weight matrix, so the number of
+    jobs doesn't grow with the settings. A setting that has stopped leaves the matrix. Rows with a gap take no part.
+    """
+    cols = list(cols)
+    rows = complete_rows(df.select(y, part, *cols), [y, *cols]).persist(StorageLevel.MEMORY_AND_DISK)
+    gamma, lam = np.array([s[0] for s in settings]), np.array([s[1] for s in settings])
+    held = np.array([s[2] for s in settings])
+    w = np.repeat(np.array(w0, float)[:, None], len(settings), axis=1)
+    before, loss, inside, done = (np.zeros(len(settings)) for _ in range(4))
+    live = np.arange(len(settings))
+    try:
+        _, grad, _, hess = _grid_pass(rows, cols, y, part, w, held, newton)
+        for t in range(1, steps + 1):
+            with np.errstate(all="ignore"):
+                g = grad + lam[live] * w[:, live]
+                if newton:
+                    g = np.column_stack([solve(h + lam[k] * np.eye(len(w)), g[:, at]) for at, (k, h) in enumerate(zip(live, hess))])
+                w[:, live] -= gamma[live] * g
+            fit, grad, inside[live], hess = _grid_pass(rows, cols, y, part, w[:, live], held[live], newton)
+            loss[live] = fit + lam[live] / 2.0 * (w[:, live] ** 2).sum(axis=0)
+            done[live] = t
+            going = np.full(len(live), True) if stop is None else ~(np.abs(loss[live] - before[live]) < stop)
+            before[live] = loss[live]
+            live, grad, hess = live[going], grad[:, going], hess[going] if newton else None
+            if not len(live):
+                break
+    finally:
+        rows.unpersist()
+    return [(Linear(cols, w[:, k], float(loss[k]), int(done[k])), float(inside[k])) for k in range(len(settings))]
+
+
 def ridge_path(m: Moments, cols: Sequence[str], lams: Sequence[float]) -> list[Linear]:
     """One fit per penalty from one moment matrix: only its diagonal changes."""
     return [ridge(m, cols, lam) for lam in lams]

@@ -15,7 +15,7 @@ from ..operators import features as ft
 from ..operators import linear as lm
 from ..operators import tuning
 from ..operators.gram import Moments, complete_rows, moments
-from ..operators.metrics import log_loss, penalty, weighted_accuracy
+from ..operators.metrics import penalty, weighted_accuracy
 from ..operators.ranking import exact_medians, hash_thresholds
 from ..operators.splits import fold_exact, split_exact
 from ..sources.features import encode_label, submission
@@ -86,7 +86,7 @@ class Experiment:
     def __init__(self, family: str, cols: Sequence[str], *, degree: int = 1, scale: bool = True, missing: str = "keep",
                  ratio: float | None = None, folds: int | None = None, params: Mapping | None = None,
                  ranges: Mapping[str, Sequence] | None = None, tune: bool = False, steps: int = 100,
-                 newton: bool = False, seed: int = 1, warm: float = 0.1):
+                 newton: bool = False, seed: int = 1, warm: float = 0.1, batch: int = 1):
         if (ratio is None) == (folds is None):
             raise ValueError("give either a split ratio or a number of folds")
         if ratio is not None and not 0.0 < ratio < 1.0:
@@ -97,7 +97,7 @@ class Experiment:
         self.ratio, self.folds, self.seed = ratio, folds, seed
         self.params = dict(params or {})
         self.ranges = ranges if ranges is not None else (GRIDS[family] if tune else None)
-        self.steps, self.newton, self.warm = steps, newton, warm
+        self.steps, self.newton, self.warm, self.batch = steps, newton, warm, batch
         self.prep = Preparation(list(cols), degree, scale, missing)
 
     def _part(self, i: int) -> Column:
@@ -127,12 +127,11 @@ class Experiment:
         held_out: list[Moments] = [by[False]] if self.folds is None else [by[i] for i in range(self.folds)]
         w0 = lm.ridge(whole, cols, self.warm).w
         configs = [{**self.params, **c} for c in tuning.grid(self.ranges)] if self.ranges is not None else [self.params]
-        fits = [[self._fit(rows.where(~self._part(i)), whole - held_out[i], cols, w0, c)
-                 for i in range(len(held_out))] for c in configs]
+        fits, losses = self._fit_all(rows, whole, held_out, cols, w0, configs)
         scores = self._accuracies(rows, fits)
         trials = []
-        for c, models, (acc_train, acc_test) in zip(configs, fits, scores):
-            errors = [self._cost(rows.where(self._part(i)), held_out[i], m.w, c) for i, m in enumerate(models)]
+        for c, models, costs, (acc_train, acc_test) in zip(configs, fits, losses, scores):
+            errors = [self._cost(held_out[i], m.w, c, costs[i]) for i, m in enumerate(models)]
             trials.append({"params": c, "error": float(np.mean(errors)), "accuracy": acc_test,
                            "train_accuracy": acc_train, "model": models[-1]})
         valid = [t for t in trials if not np.isnan(t["error"])]
@@ -144,6 +143,27 @@ class Experiment:
             model = self._fit(rows, whole, cols, w0, chosen["params"])
         return Outcome(chosen["params"], model, chosen["error"], chosen["accuracy"], chosen["train_accuracy"], trials)
 
+    def _fit_all(self, rows: DataFrame, whole: Moments, held_out: list[Moments], cols: list[str], w0: np.ndarray,
+                 configs: list[dict]) -> tuple[list[list[lm.Linear]], list[list[float]]]:
+        """A model for each setting and held-out part, and its log loss there where the family has one.
+
+        The rows are read a number of times that doesn't grow with the settings: moments serve all squared losses, one
+        draw all stochastic descents, and one pass for each step all logistic models.
+        """
+        parts = range(len(held_out))
+        if self.logistic:
+            part = (~F.col("_part")).cast("int") - 1 if self.folds is None else F.col("_part")  # a split holds out part 0
+            asked = [(c["gamma"], c.get("lam", 0.0), i) for c in configs for i in parts]
+            done = lm.logistic_grid(rows.withColumn("_held", part.cast("int")), cols, "y", w0, self.steps, asked, "_held",
+                                    newton=self.newton, stop=lm.STOP_BELOW if self.family == "logistic_l2" else None)
+            rows_of = [done[at:at + len(held_out)] for at in range(0, len(done), len(held_out))]
+            return [[m for m, _ in r] for r in rows_of], [[e for _, e in r] for r in rows_of]
+        none = [[float("nan")] * len(held_out) for _ in configs]
+        if self.family == "sgd":
+            drawn = [lm.draw_batches(rows.where(~self._part(i)), cols, "y", self.steps, self.batch, self.seed) for i in parts]
+            return [[lm.descend_drawn(drawn[i], cols, w0, c["gamma"]) for i in parts] for c in configs], none
+        return [[self._fit(rows, whole - held_out[i], cols, w0, c) for i in parts] for c in configs], none
+
     def _fit(self, rows: DataFrame, m: Moments, cols: list[str], w0: np.ndarray, c: Mapping) -> lm.Linear:
         if self.family == "least":
             return lm.least_squares(m, cols)
@@ -152,7 +172,7 @@ class Experiment:
         if self.family == "gd":
             return lm.descend(m, cols, w0, self.steps, c["gamma"])
         if self.family == "sgd":
-            return lm.descend_stochastic(rows, cols, "y", w0, self.steps, c["gamma"], self.seed)
+            return lm.descend_stochastic(rows, cols, "y", w0, self.steps, c["gamma"], self.seed, batch=self.batch)
         if self.family == "logistic":
             return lm.logistic(rows, cols, "y", w0, self.steps, c["gamma"], newton=self.newton)
         if self.family == "logistic_l2":
@@ -160,9 +180,8 @@ class Experiment:
                                stop=lm.STOP_BELOW)
         raise ValueError(self.family)
 
-    def _cost(self, rows: DataFrame, m: Moments, w: np.ndarray, c: Mapping) -> float:
+    def _cost(self, m: Moments, w: np.ndarray, c: Mapping, loss: float) -> float:
         if self.logistic:
-            loss = rows.agg(log_loss(F.col("y"), dot(self.prep.out, w))).first()[0]
             return loss + (penalty(w, c["lam"]) if self.family == "logistic_l2" else 0.0)
         return lm.rmse_of(m, w) if self.family == "ridge" else m.sse(w) / m.n / 2
 

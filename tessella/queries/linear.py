@@ -66,6 +66,23 @@ def fit_sgd(spark, sf):
     return weights(spark, lm.descend_stochastic(design(spark, sf), X, "y", np.zeros(5), 30, 0.001))
 
 
+_BATCHES = (k.ranked("rk", "d", 1),
+            f"draw as materialized (select t, floor({k.uniform("'1:' || t || case when b = 0 then '' else ':' || b end")} * n)::bigint as k "
+            "from (select unnest(range(1, 21)) as t), (select unnest(range(8)) as b), (select count(*) as n from d))",
+            "seq as materialized (select t, x0, x1, x2, x3, x4, y from draw join rk using (k))",
+            k.moment_cte("mm", "seq", 5, keys=["t"]).replace("yy", "sq"),
+            "g as (select 0::bigint as step, " + ", ".join(f"0.0::double as w{i}" for i in range(5)) + " union all select step + 1, "
+            + ", ".join(f"w{i} - 0.001::double * (" + " + ".join(f"s{min(i, j)}_{max(i, j)} * w{j}" for j in range(5)) + f" - t{i}) / n"
+                        for i in range(5)) + " from g join mm on t = step + 1)",
+            "w as (select * from g where step = 20)")
+
+
+@query(k.sql(k.weights_out(X, "w"), *DESIGN, *_BATCHES, recursive=True))
+def fit_sgd_batch(spark, sf):
+    """Eight drawn rows for each step."""
+    return weights(spark, lm.descend_stochastic(design(spark, sf), X, "y", np.zeros(5), 20, 0.001, batch=8))
+
+
 def _logistic_sql(d, steps, gamma, lam=0.0, newton=False):
     p = f"(1 / (1 + exp(-{k.score(d)})))"
     out = [f"v0 as materialized (select {', '.join(f'0.0::double as w{i}' for i in range(d))})"]
@@ -177,6 +194,56 @@ def grid_search_ridge(spark, sf):
                                  "config INT, error DOUBLE, accuracy DOUBLE")
 
 
+_WARM = [*PREP, k.ranked("rk", "d", 1), "dt as materialized (select *, k < floor(0.8::double * total) as is_train from rk)"]
+_SETTINGS = [(g, lam) for lam in (100.0, 1000.0) for g in (1e-6, 1e-5)]
+
+
+def _logistic_grid_sql(steps):
+    z, p = k.score(D), f"(1 / (1 + exp(-{k.score(D)})))"
+    out = [*_WARM, k.moment_cte("ma", "dt", D, y="y01"), *k.ridge_ctes("wa", "ma", D, "0.1")]
+    out.append("v0 as materialized (select config, gamma, lam, wa.* from wa, (values "
+               + ", ".join(f"({c}::int, {g!r}::double, {lam!r}::double)" for c, (g, lam) in enumerate(_SETTINGS)) + ") s(config, gamma, lam))")
+    for t in range(steps):
+        moves = ", ".join(f"any_value(w{i}) - gamma * (sum(x{i} * ({p} - y01)) + lam * any_value(w{i})) as w{i}" for i in range(D))
+        out.append(f"v{t + 1} as materialized (select config, gamma, lam, {moves} from dt, v{t} where is_train group by config, gamma, lam)")
+    size = " + ".join(f"any_value(w{i}) * any_value(w{i})" for i in range(D))
+    return k.sql(f"select config, round(sum(greatest({z}, 0) + ln(1 + exp(-abs({z}))) - y01 * {z}) + 0.5 * any_value(lam) * ({size}), 4) as error, "
+                 f"{k.r6(f'avg(case when y01 = (case when {z} > 0 then 1 else 0 end) then 1.0 else 0.0 end)')} as accuracy "
+                 f"from dt, v{steps} where not is_train group by config", *out)
+
+
+@query(_logistic_grid_sql(3))
+def grid_search_logistic(spark, sf):
+    """Penalties and steps of the regularised model, all moved together: one pass over the rows for each step."""
+    exp = Experiment("logistic_l2", COLS, degree=2, missing="median", ratio=0.8, steps=3,
+                     ranges={"lam": [100.0, 1000.0], "gamma": [1e-6, 1e-5]})
+    out = exp.run(nulled(spark, sf))
+    return spark.createDataFrame([(i, round(t["error"], 4), round(t["accuracy"], 6)) for i, t in enumerate(out.trials)],
+                                 "config INT, error DOUBLE, accuracy DOUBLE")
+
+
+_GAMMAS = [0.05, 0.1, 0.2, 0.3]
+
+
+def _gd_grid_sql(steps):
+    moves = ", ".join(f"w{i} - gamma * ({' + '.join(f's{min(i, j)}_{max(i, j)} * w{j}' for j in range(D))} - t{i}) / n" for i in range(D))
+    out = [*_WARM, k.moment_cte("ma", "dt", D), *k.ridge_ctes("wa", "ma", D, "0.1"), k.moment_cte("m", "dt", D, where="where is_train"),
+           "g as (select 0 as step, config, gamma, wa.* from wa, (values "
+           + ", ".join(f"({c}::int, {g!r}::double)" for c, g in enumerate(_GAMMAS))
+           + f") s(config, gamma) union all select step + 1, config, gamma, {moves} from g, m where step < {steps})",
+           f"w as (select * from g where step = {steps})"]
+    return k.sql(f"select config, {k.r6(f'avg(pow(y - {k.score(D)}, 2)) / 2')} as error, {k.r6(_HIT)} as accuracy "
+                 "from dt, w where not is_train group by config", *out, recursive=True)
+
+
+@query(_gd_grid_sql(20))
+def grid_search_gd(spark, sf):
+    """Step lengths of gradient descent, all from one pass of moments."""
+    out = Experiment("gd", COLS, degree=2, missing="median", ratio=0.8, steps=20, ranges={"gamma": _GAMMAS}).run(nulled(spark, sf))
+    return spark.createDataFrame([(i, round(t["error"], 6), round(t["accuracy"], 6)) for i, t in enumerate(out.trials)],
+                                 "config INT, error DOUBLE, accuracy DOUBLE")
+
+
 @query(k.sql(f"select id::bigint as \"Id\", {_LABEL} as \"Prediction\" from d, w", *_RIDGE))
 def predict_workflow(spark, sf):
     """Fit on the labelled table, then the same preparation and the chosen weights on the whole table."""

@@ -158,3 +158,26 @@ def test_a_segment_without_a_plan_gets_the_frequent_class(spark):
     model = SegmentedRidge(F.col("f2").cast("int"), {0: SegmentPlan(["f0"], 1, 0.1), 1: SegmentPlan(["f0"], 1, 0.1)}).fit(df)
     other = spark.createDataFrame([(99, 7.0, 1.0), (98, None, 1.0)], "id BIGINT, f2 DOUBLE, f0 DOUBLE")
     assert {r["Prediction"] for r in model.predict(other).collect()} == {-1}
+
+
+@pytest.mark.parametrize("newton", [False, True])
+def test_a_grid_moves_as_its_settings_do_alone(spark, data, newton):
+    df, _, _ = data
+    rows = df.withColumn("_held", (F.col("id") % 3).cast("int"))
+    settings = [(g, lam, h) for g in (0.002, 0.01) for lam in (0.0, 2.0) for h in (0, 1, -1)]
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    got = lm.logistic_grid(rows, COLS, "y01", np.zeros(4), 3, settings, "_held", newton=newton, stop=1e-8)
+    jobs = len(set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - set(before))
+    assert jobs <= 2 * 4 + 2  # passes, not settings
+    for (g, lam, h), (m, inside) in list(zip(settings, got))[::2]:
+        alone = lm.logistic(rows.where(F.col("_held") != h), COLS, "y01", np.zeros(4), 3, g, lam=lam, newton=newton, stop=1e-8)
+        assert np.allclose(m.w, alone.w) and m.loss == pytest.approx(alone.loss) and m.steps == alone.steps
+        assert (inside > 0) == (h >= 0)
+
+
+def test_drawn_batches_have_the_moments_of_their_rows(data):
+    df, x, y = data
+    drawn = lm.draw_batches(df, COLS, "y", 5, batch=16)
+    assert [m.n for m in drawn] == [16.0] * 5 and all(m.xx[0, 0] == 16.0 for m in drawn)
+    w = lm.descend_drawn(drawn, COLS, np.zeros(4), 0.1).w
+    assert np.mean((y - x @ w) ** 2) < np.mean(y ** 2)
