@@ -24,8 +24,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines of recurring templates; ``n_chars`` counts what is left."""
-    short = templates.drop_recurring_lines(docs)
+    """All documents, without the lines of templates of an earlier document; ``n_chars`` counts what is left."""
+    short = templates.drop_recurring_lines(docs, least_docs=templates.RECURS)
     if "n_chars" in docs.columns:
         short = short.withColumn("n_chars", F.char_length("text").cast("long"))
     return short.select(*docs.columns)

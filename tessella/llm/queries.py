@@ -72,9 +72,10 @@ def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tessella.llm.templates import drop_recurring_lines
+    from tessella.llm.templates import RECURS, drop_recurring_lines
 
-    return drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_recurring_lines(docs, least_docs=RECURS).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -12,6 +12,7 @@ from tessella.llm.text import SECOND_BASE, WORD_BASE, buffers, mix, spans_hash,
 
 LEADING = 3      # leading tokens on a line's way through the tree
 FIXED = 6        # tokens that must be equal for a template with open fields
+RECURS = 2       # documents in which a template recurs; the query and the pipeline's stage name it
 FIELD = np.uint64(0x5851F42D4C957F2D)  # stands for any variable field
 VARIABLE = np.zeros(256, bool)
 VARIABLE[[*b"0123456789@"]] = True
@@ -56,6 +57,7 @@ def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text
                          depth: int = LEADING, fixed: int = FIXED) -> DataFrame:
     """Drop lines whose template occurs in ``least_docs`` documents or more, except in the first of them.
 
+    With ``RECURS`` no template is kept in a second document; a larger ``least_docs`` leaves those of fewer documents.
     Result: the input's columns with the shortened ``text``, and ``n_lines`` and ``n_dropped``; no row is dropped. The
     first document is the one of the smallest id, and it keeps all its lines of that template, so that no content is
     lost altogether. Blank lines are no templates and stay. A null text stays null with no lines, and an empty text has
