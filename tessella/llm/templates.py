@@ -11,11 +11,13 @@ from tessella.llm.exchange import Keys, exchange
 from tessella.llm.text import SECOND_BASE, WORD_BASE, buffers, mix, spans_hash, split_words
 
 LEADING = 3      # leading tokens on a line's way through the tree
-FIXED = 6        # tokens that must be equal for a template with open fields
+FIXED = 6        # different constant words that must be equal for a template with fields or an open half
 RECURS = 2       # documents in which a template recurs; the query and the pipeline's stage name it
 FIELD = np.uint64(0x5851F42D4C957F2D)  # stands for any variable field
 VARIABLE = np.zeros(256, bool)
 VARIABLE[[*b"0123456789@"]] = True
+LETTER = np.zeros(256, bool)
+LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
 def lines_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -25,26 +27,48 @@ def lines_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return cuts, np.arange(len(bounds)) + np.searchsorted(breaks, bounds, side="right")
 
 
+def repeats(value: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last place before each word where its line has the same word; -1 if there is none."""
+    order = np.lexsort((value, line))  # stable: equal words of a line stand in order
+    new = np.ones(len(order), bool)
+    new[1:] = (value[order][1:] != value[order][:-1]) | (line[order][1:] != line[order][:-1])
+    first, last = np.full(len(order), -1), np.full(len(order), -1)
+    again = np.flatnonzero(~new)
+    first[order[again]] = order[new][np.cumsum(new)[again] - 1]
+    last[order[again]] = order[again - 1]
+    return first, last
+
+
 def line_keys(data: np.ndarray, cuts: np.ndarray, depth: int, fixed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(line, value, place) for each template that a line belongs to.
 
     Every line has the template of all its tokens, in which tokens with a digit or an @ are fields. A line's way is its
     token count and its leading tokens; in its leaf, the remaining tokens have two halves, either of which may be open.
+    A template needs ``fixed`` different constants: words with a letter that are no fields. Without these, fields would
+    join lines of other content, so such a line is compared by its exact tokens and has no template with an open half.
     """
     words = split_words(data, cuts)
-    value = words.hashes()
-    marks = np.concatenate([[0], np.cumsum(VARIABLE[data])])
-    value = np.where(marks[words.ends] > marks[words.starts], FIELD, value)
+    exact = words.hashes()
+    marks, letters = (np.concatenate([[0], np.cumsum(kind[data])]) for kind in (VARIABLE, LETTER))
+    field = marks[words.ends] > marks[words.starts]
+    value = np.where(field, FIELD, exact)
     n, lo, hi = words.counts, words.first[:-1], words.first[1:]
     keep = n > 0
     line, n, lo, hi = np.flatnonzero(keep), n[keep], lo[keep], hi[keep]
     middle = lo + depth + (n - depth) // 2
+    constant = ~field & (letters[words.ends] > letters[words.starts])
+    first, last = repeats(exact, words.owners())
+    count = lambda which, a, b: (c := np.concatenate([[0], np.cumsum(which)]))[b] - c[a]
+    fresh = constant & (last < 0)
+    late = constant & (last < np.repeat(middle, n)) & ((first < 0) | (first >= np.repeat(lo + depth, n)))
+    tight = count(fresh, lo, hi) < fixed
+    long = (n > depth) & (count(fresh, lo, np.minimum(middle, hi)) >= fixed)
+    far = (n > depth) & (count(fresh, lo, np.minimum(lo + depth, hi)) + count(late, np.minimum(middle, hi), hi) >= fixed)
+    value = np.where(np.repeat(tight, n), exact, value)
     found = []
     for base in (WORD_BASE, SECOND_BASE):
         whole = spans_hash(value, lo, hi, base)
         size = n.astype(np.uint64)
-        long = (n > depth) & (middle - lo >= fixed)
-        far = (n > depth) & (hi - middle + depth >= fixed)
         left = spans_hash(value, lo[long], middle[long], base)
         right = spans_hash(value, middle[far], hi[far], base) * np.uint64(3) + spans_hash(value, lo[far], lo[far] + depth, base)
         found.append(np.concatenate([mix(whole + size), mix(left + (size[long] << np.uint64(20)) + np.uint64(1)),

@@ -1,11 +1,14 @@
 """Cases in which an operator once did less than its whole job."""
 
+import random
+import re
+
 import pytest
 
 pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
-from tessella.llm import queries  # noqa: E402
+from tessella.llm import queries, templates  # noqa: E402
 from tessella.session import scratch_path  # noqa: E402
 from llm import brute  # noqa: E402
 
@@ -23,3 +26,41 @@ def test_lines_of_two_documents_are_dropped_by_query_and_stage(spark):
     assert sorted((r.doc_id, r.n_lines, r.n_dropped) for r in got) == [(i, n, k) for i, _, n, k in want]
     staged = corpus_pipeline.lines(spark, docs, folder).collect()
     assert sorted((r.doc_id, r.text) for r in staged) == [(i, t) for i, t, _, _ in want]
+
+
+def constant_templates(line, depth=3, fixed=6):
+    """Brute force: templates with six different constants, else the exact tokens."""
+    t = brute.words(line)
+    if not t:
+        return []
+    shape = ["<*>" if re.search(r"[0-9@]", w) else w for w in t]
+    enough = lambda part: len({w for w in part if w != "<*>" and re.search(r"[^\W\d_]|[^\x00-\x7f]", w)}) >= fixed
+    out = [("all", *(shape if enough(shape) else t))]
+    middle = depth + (len(t) - depth) // 2
+    if len(t) > depth:
+        if enough(shape[:middle]):
+            out.append(("left", len(t), *shape[:middle]))
+        if enough(shape[:depth] + shape[middle:]):
+            out.append(("right", len(t), *shape[:depth], *shape[middle:]))
+    return out
+
+
+def test_lines_of_fields_are_compared_exactly(spark, monkeypatch):
+    lines = [lambda k: f"{k} {k + 7} 2020-01-0{k}", lambda k: f"| {k} | {k}1 | {k}2 | {k}3 | {k}4 |", lambda k: f"price {k}.99 EUR",
+             lambda k: f"{k} 1{k} 2{k} 3{k} 4{k} 5{k} only document number{k} {'abcdef'[k]}lpha {'abcdef'[k]}eta says this",
+             lambda k: f"{k} km 1{k} km 2{k} km 3{k} km 4{k} km 5{k} km 6{k} km",
+             lambda k: "2019 2020 2021", lambda k: f"User u{k}9 posted item {k}42 at the market today"]
+    rows = [(k, "\n".join(line(k) for line in lines)) for k in range(5)]
+    got = templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"), least_docs=2).collect()
+    dropped = {r.doc_id: set(dict(rows)[r.doc_id].split("\n")) - set(r.text.split("\n")) for r in got}
+    assert dropped == {0: set()} | {k: {"2019 2020 2021", lines[-1](k)} for k in range(1, 5)}
+    rng = random.Random(4)
+    few = [*"abcdefg", "é", "7", "x9", "|", "–"]
+    rows = [(k, "\n".join(" ".join(rng.choice(few) for _ in range(rng.randint(0, 14))) for _ in range(60))) for k in range(40)]
+    heads = ["a b c d e f", "a 1 b c d", "a a b c d e f g"]
+    rows += [(100 + k, "\n".join(f"{h} {' '.join(rng.choice(few) for _ in range(4))}" for h in heads for _ in range(9))) for k in range(20)]
+    monkeypatch.setattr(brute, "line_templates", constant_templates)
+    got = templates.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"), least_docs=2).collect()
+    want = brute.recurring_lines(rows, least=2)
+    assert sum(w[3] for w in want) > 100
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got) == sorted(want)
