@@ -21,8 +21,22 @@ INPUT = PATH_DIM + WORD_DIM + SHAPE_DIM
 SLICE_BYTES = 4 << 20
 PAGES_AT_ONCE = 128
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|head|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|head|iframe)(?=[\s/>])[^>]*>"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-z][^>]*>|<[!?][^>]*>", re.S | re.I)
+RAW = {"script", "style", "iframe"}  # without a closing tag they run to the page's end
+CLOSING = {t: re.compile(rf"</{t}\s*>", re.I) for t in "script style iframe noscript template title".split()}
+# what a head holds besides elements with a content of their own; anything else ends it
+HEAD_PART = re.compile(
+    r"\s+|<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(script|style|noscript|template|title)(?=[\s/>])[^>]*>"
+    r"|<(?:head|/?(?:base|basefont|bgsound|link|meta))(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*')*+>"
+    r"|</(?!(?:head|body|html|br)[\s/>])[a-z][^>]*>", re.S | re.I)
+HEAD_END = re.compile(r"</head\s*>", re.I)
+TITLE_END = re.compile(r"<(?:/?head|/?body|svg)(?=[\s/>])", re.I)
+# in an svg: nested ones, parts that may hold HTML, and HTML's elements, before which an svg without closing tag ends
+SVG_PART = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(foreignobject|desc|title|style|script)(?=[\s/>])[^>]*(?<!/)>.*?</\1\s*>"
+    r"|<(/?svg)(?=[\s/>])[^>]*>|</?(?:article|aside|blockquote|body|br|center|dd|div|dl|dt|embed|em|footer|form|h[1-6]|head|header"
+    r"|hr|html|img|li|main|menu|nav|ol|p|pre|section|small|span|strong|sub|sup|table|tbody|td|th|tr|ul)(?=[\s/>])", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 NAME = re.compile(r"[a-z]+")
 # fixed values: HTML's elements without content, those inside a line, and those that end their like
@@ -43,11 +57,69 @@ class Block:
     linked: float
 
 
+class Skips:
+    """Where the parts of a page that are no text end."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.open: set[str] = set()  # elements that no later tag closes
+
+    def closed(self, tag: str, at: int) -> int | None:
+        m = None if tag in self.open else CLOSING[tag].search(self.page, at)
+        if m is None:
+            self.open.add(tag)
+            return len(self.page) if tag in RAW else None
+        return m.end()
+
+    def end(self, tag: str, opening: str, at: int) -> int:
+        """The end of the element whose opening tag ends at ``at``: that place, if only its tag is no text."""
+        if tag == "head":
+            return self.head(at)
+        if tag == "svg":
+            return at if closes_itself(opening) else self.svg(at)
+        return self.closed(tag, at) or at
+
+    def head(self, at: int) -> int:
+        """At </head>, or before the first text or element that can't stand in a head."""
+        while m := HEAD_PART.match(self.page, at):
+            at = m.end()
+            if not m[1]:
+                continue
+            end = self.closed(m[1].lower(), at)
+            if m[1].lower() == "title" and (end is None or TITLE_END.search(self.page, at, end)):
+                end = self.page.find("<", at)
+                end = len(self.page) if end < 0 else end
+            at = end or at
+        m = HEAD_END.match(self.page, at)
+        return m.end() if m else at
+
+    def svg(self, at: int) -> int:
+        depth, start = 1, at
+        if "svg" in self.open:
+            return at
+        while m := SVG_PART.search(self.page, at):
+            at = m.end()
+            if m[2]:
+                depth += -1 if m[2][0] == "/" else 0 if closes_itself(m[0]) else 1
+                if not depth:
+                    return at
+            elif not m[1] and not m[0].startswith("<!--"):
+                return m.start()
+        self.open.add("svg")
+        return start
+
+
+def closes_itself(tag: str) -> bool:
+    return tag.endswith("/>") and not re.search(r"=[^\s\"'>]*/>$", tag)
+
+
 def blocks(page: str) -> list[Block]:
     """The page's non-empty blocks in order: runs of text between the borders of block elements.
 
     Character references are decoded, white space becomes one space. Comments, scripts, styles and the head are no
     text. Unclosed and misnested elements are closed as their borders demand; a text without markup is one block.
+    Only a script, style or iframe without its closing tag runs to the page's end; a head ends where its content does,
+    an svg before the next element of HTML, and of other such elements only the tag is skipped.
     """
     found: list[Block] = []
     stack: list[tuple[str, str]] = []
@@ -63,8 +135,8 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
-    at = 0
-    for m in TOKEN.finditer(page):
+    at, skips = 0, Skips(page)
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             piece = page[at:m.start()]
             parts.append(piece)
@@ -73,8 +145,10 @@ def blocks(page: str) -> list[Block]:
         at = m.end()
         tag = (m[3] or "").lower()
         if not tag:
-            if m[1] and m[1].lower() not in ("script", "style"):
-                parts.append(" ")
+            if m[1]:
+                at = skips.end(m[1].lower(), m[0], at)
+                if m[1].lower() not in ("script", "style"):
+                    parts.append(" ")
             continue
         if tag in ("br", "wbr"):
             parts.append(" " if tag == "br" else "")

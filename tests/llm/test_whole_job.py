@@ -8,7 +8,7 @@ import pytest
 pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
-from tessella.llm import queries, templates  # noqa: E402
+from tessella.llm import pages, queries, templates  # noqa: E402
 from tessella.session import scratch_path  # noqa: E402
 from llm import brute  # noqa: E402
 
@@ -64,3 +64,16 @@ def test_lines_of_fields_are_compared_exactly(spark, monkeypatch):
     want = brute.recurring_lines(rows, least=2)
     assert sum(w[3] for w in want) > 100
     assert sorted((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got) == sorted(want)
+
+
+@pytest.mark.parametrize("page", [
+    "<html><head><title>No</title><meta charset=x><body><p>All the text", "<head><title>No<body><p>All the text</p>",
+    "<head><style>p > a {}</style><link href='a>b'><p>All the text</p>", "<head><title>No</title>\n All the text",
+    "<head><div>All</div></head><p>the text", "<head><script>if (a<b) '<p>'</script></head><p>All the text",
+    "<p>All <svg class=a /> the text</p>", "<p>All</p><svg/><p>the</p><svg><text>no</text></svg><p>text</p>",
+    "<p>All</p><svg><path d=x><p>the text</p>", "<p>All <svg> the text", "<svg><svg><text>no</text></svg><text>no</text></svg><p>All the text",
+    "<p>All</p><svg><foreignObject><div>no</div></foreignObject></svg><p>the text", "<p>All the text<script>no <p>no",
+    "<p>All</p><template><p>the text", "<p>All</p><template><p>no</p></template><noscript>no</noscript>the text<noscript>",
+    "<p>All</p><svg-icon></svg-icon><p>the text", "<header>All</header><p>the text</p><iframe>no"])
+def test_pages_lose_no_text_to_open_elements(page):
+    assert " ".join(b.text for b in pages.blocks(page)) == "All the text"
