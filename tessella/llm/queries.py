@@ -254,3 +254,12 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessella.llm.lexical import search
 
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessella.llm.maxent import score_texts
+
+    apart = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    scored = score_texts(table(spark, sf_dir, "documents"), ~apart)
+    return scored.select("doc_id", apart.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
