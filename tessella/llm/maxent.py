@@ -361,13 +361,14 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, signs: np.ndarray, c
     for rows in slices(batches, "__text", SLICE_BYTES):
         tokens = Tokens.of(rows.column(1))
         owner, n = tokens.owners(), rows.num_rows
-        at = frequent(tokens.signs)
+        at, place = frequent(tokens.signs), model.places(places, tokens.signs)
         count = np.where(at >= 0, counts[at] if len(counts) else 0, 0)
-        place = model.places(places, tokens.signs)
+        placed = place < (CLASSES - 1) * MEMBERS
+        count[placed] = model.counts[place[placed]]
         logs = model.logs(place, tokens.histories()) / np.log(10)
-        logs += np.where(place == (CLASSES - 1) * MEMBERS, np.log10(count + 1.0) - np.log10(model.rest), 0)
-        other = np.flatnonzero(at < 0)
-        # a text's words that are not frequent: each once, with its times
+        logs += np.where(placed, 0, np.log10(count + 1.0) - np.log10(model.rest))
+        other = np.flatnonzero((at < 0) & ~placed)
+        # a text's words of unknown count: each once, with its times
         by = np.lexsort((tokens.signs[other], owner[other]))
         other = other[by]
         new = np.ones(len(other), bool)
