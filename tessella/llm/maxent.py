@@ -1,8 +1,8 @@
 """Language-model scores of a hashed maximum-entropy model with a class-factored softmax.
 
 P(w | h) = P(class of w | h) P(w | its class, h). Both factors start from the unigram base distribution and are tilted
-by hashed features of the words before w: the last word, the last two, the last three, and the word before the last
-alone (a skip feature). A feature picks one row of ``CLASSES`` weights for the class, and with a class one row of
+by hashed features of the words before w: the last word, the last two, and the word before the last alone (a skip
+feature). A feature picks one row of ``CLASSES`` weights for the class, and with a class one row of
 ``MEMBERS`` weights for the word. The most frequent words have places in classes; all others, and every unknown word,
 share the last class, in which they keep the base distribution. So the model has one size at every size of the corpus,
 sums to one over all known words and one unknown, and reads each training text once.
@@ -30,13 +30,13 @@ ROUNDS = 5                       # gradient steps; each has twice the texts of t
 STEP, DAMP = 0.6, 2.0            # length of a step, and observations that it takes to believe a gradient
 FREQUENT = 1 << 20               # words whose counts are broadcast at most; the rest is joined
 WORD_BYTES = 64                  # longer words are always joined, so that what is broadcast is bounded
-SLICE_BYTES = 4 << 20
+SLICE_BYTES, COUNT_BYTES = 1 << 20, 4 << 20
 TASK_BYTES = 24 << 20            # training text whose gradient one task adds up
 FAN_IN = 64                      # gradients that one task adds
-CHUNK = 8192
-START = np.array([0x51, 0x52, 0x53], np.uint64)  # signs before a text's first word
+CHUNK, FEW = 8192, 64
+START = np.array([0x51, 0x52], np.uint64)  # signs before a text's first word
 END = np.uint64(0x9D39247E33776D41)              # sign of the end, which stands as the empty word in tables
-BASES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
+BASES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
 class Lookup:
@@ -103,29 +103,31 @@ class Tokens:
         """Hashes of the features of what stands before each token."""
         at = np.arange(len(self.signs)) - np.repeat(self.first[:-1], np.diff(self.first))
         before = []
-        for k in (1, 2, 3):
+        for k in (1, 2):
             sign = np.full(len(self.signs), START[k - 1])
             sign[k:][at[k:] >= k] = self.signs[:-k][at[k:] >= k]
             before.append(sign * BASES[k - 1])
-        one, two, three = before
-        return [mix(x + np.uint64(k)) for k, x in enumerate((one, one + two, two, one + two + three))]
+        one, two = before
+        return [mix(x + np.uint64(k)) for k, x in enumerate((one, one + two, two))]
 
 
 def add_rows(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """into[rows[i]] += values[i], repeats included: neighbours of one row are added in pairs until each is alone."""
+    """into[rows[i]] += values[i % len(values)], repeats included: the k-th ones of all rows that have so many at once."""
     order = np.argsort(rows.astype(np.uint16), kind="stable")
-    rows, values = rows[order], values[order % len(values)]
-    while len(rows):
-        same = rows[1:] == rows[:-1]
-        head = np.append(True, ~same)
-        alone = head & np.append(~same, True)
-        into[rows[alone]] += values[alone]
-        at = np.arange(len(rows))
-        second = np.flatnonzero((at - np.maximum.accumulate(np.where(head, at, 0))) & 1)
-        values[second - 1] += values[second]
-        stay = ~alone
-        stay[second] = False
-        rows, values = rows[stay], values[stay]
+    rows, source = rows[order], order % len(values)
+    start = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    size = np.diff(np.append(start, len(rows)))
+    by = np.argsort(-size, kind="stable")
+    start, size = start[by], size[by]
+    total, k = values[source[start]], 1
+    while more := int(np.searchsorted(-size, -k)):  # rows with more than k
+        if more < FEW:  # some rows are met again and again
+            for r in range(more):
+                total[r] += values[source[start[r] + k:start[r] + size[r]]].sum(0)
+            break
+        total[:more] += values[source[start[:more] + k]]
+        k += 1
+    into[rows[start]] += total
 
 
 @dataclass
@@ -237,7 +239,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     """(word, n_all, n_train) over all texts; the end is the empty word. ``docs``: __train, __text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches, "__text", SLICE_BYTES):
+        for rows in slices(batches, "__text", COUNT_BYTES):
             tokens = Tokens.of(rows.column(1))
             train = rows.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             _, at, of, n = np.unique(tokens.signs, return_index=True, return_inverse=True, return_counts=True)

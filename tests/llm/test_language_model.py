@@ -93,7 +93,7 @@ def test_probabilities_sum_to_one():
     model = small_model()
     lookup = maxent.Lookup(model.signs)
     for seed in range(3):
-        past = [np.full(len(model.signs) + 1, h, np.uint64) for h in np.random.default_rng(seed).integers(1, 1 << 60, 4)]
+        past = [np.full(len(model.signs) + 1, h, np.uint64) for h in np.random.default_rng(seed).integers(1, 1 << 60, 3)]
         places = model.places(lookup, np.append(model.signs, np.uint64(5)))
         p = np.exp(model.logs(places, past))
         assert abs(p.sum() - 1) < 1e-4  # the last one is the class of all other words, whose base shares sum to one
@@ -105,7 +105,7 @@ def test_gradients_are_derivatives():
     rng = np.random.default_rng(1)
     n = 300
     places = rng.choice([*range(len(model.signs)), (maxent.CLASSES - 1) * maxent.MEMBERS], n)
-    past = [rng.integers(1, 40, n).astype(np.uint64) for _ in range(4)]  # few rows, met often
+    past = [rng.integers(1, 40, n).astype(np.uint64) for _ in range(3)]  # few rows, met often
     total = maxent.Gradient()
     model.logs(places, past, total)
     for weights, (slope, met) in ((model.classes, total.classes), (model.words, total.words)):
