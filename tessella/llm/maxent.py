@@ -188,8 +188,7 @@ class Model:
         for r in rows[1:]:
             np.take(weights, r, axis=0, out=more, mode="clip")
             z += more
-        z += base
-        z -= z.max(1, keepdims=True)
+        z += base  # at most a few: a weight is below ROUNDS * STEP, and a base logarithm is negative
         at = np.arange(len(wanted))
         log = z[at, wanted].astype(np.float64)
         np.exp(z, out=z)
@@ -338,7 +337,7 @@ def score_texts(docs: DataFrame, learn: Column, key: str = "doc_id", text: str =
         if room < 0:
             break
         least = r["size"]
-    known = short.where(size >= least).orderBy("word").select("word", "n_train").toArrow() if least is not None else placed.slice(0, 0)
+    known = short.where(size >= least).select("word", "n_train").toArrow() if least is not None else placed.slice(0, 0)
     shared = spark.sparkContext.broadcast((model, signs_of(known.column(0).combine_chunks()), known.column(1).to_numpy()))
     folder = scratch_path(spark, "maxent-scores")
     rows.select("__key", "__text").mapInArrow(

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.frames import carried
+from tessella.llm.frames import carried, fields
 from tessella.llm.text import LOWER, buffers, slices
 from tessella.session import cut_lineage
 
@@ -182,6 +182,14 @@ def components(edges: DataFrame) -> DataFrame:
         before = sums
 
 
+def grouped(docs: DataFrame, key: str, text: str, width: int, radius: int, seed: int) -> DataFrame:
+    """(key, fp, root) of each row; rows of one group have the same root, a fingerprint of the group."""
+    prints = cut_lineage(fingerprints(docs, key, text, width, seed))
+    roots = components(links(cut_lineage(prints.select("fp").distinct()), radius)) \
+        .select(F.col("node").alias("__node"), "root")
+    return prints.join(roots, F.col("fp") == F.col("__node"), "left").select(key, "fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2,
                     seed: int = 42) -> DataFrame:
     """(key, fingerprint, component_id) for each row: the smallest id that can be reached over linked fingerprints.
@@ -202,15 +210,35 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
-    """One row of each group of near-duplicates: the one of the smallest id, with all its columns.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2,
+             seed: int = 42) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns: the one of the smallest id.
 
-    If rows share that id, one of them stays. Rows without an id can't be chosen and all stay.
+    Groups are those of the rows' own fingerprints, so rows that share an id but no group are judged apart. Of several
+    rows with a group's smallest id, the one of the smallest fingerprint, then text, stays. Ids come before no id: a row
+    without an id stays only in a group of such rows, of which again one stays. An empty table gives an empty result.
     """
     docs = docs.select(*(f"`{c}`" for c in carried(docs)))
-    groups = near_duplicates(docs, key, text, width, radius)
-    ids = groups.where(f"`{key}` = component_id").select(F.col(key).alias("__kept")).distinct()
-    first = Window.partitionBy("__kept").orderBy(text)
-    chosen = docs.join(ids, F.col(key).cast("long") == F.col("__kept")) \
-        .withColumn("__rank", F.row_number().over(first)).where("__rank = 1").drop("__kept", "__rank")
-    return chosen.unionByName(docs.where(F.col(key).isNull()))
+    rows = cut_lineage(grouped(docs, key, text, width, radius, seed))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col(key).isNull(), F.col(key), F.col("fp"))).alias("w"))
+    # rows that alone have their id are known by it, others by their fingerprint too
+    shared = rows.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull()).select(F.col(key).alias("__id"))
+    shared = cut_lineage(shared)
+    kept = cut_lineage(first.select(F.col(f"w.{key}").alias("__kept"), F.col("w.fp").alias("__print")))
+    own_id = F.col(key).cast("long")
+    if shared.isEmpty():
+        return docs.join(kept.select("__kept"), own_id == F.col("__kept"), "left_semi")
+    alone = kept.where("__kept is not null").join(shared, F.col("__kept") == F.col("__id"), "left_anti")
+    several = docs.join(shared.where("__id is not null"), own_id == F.col("__id"), "left_semi").unionByName(docs.where(own_id.isNull()))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text, SLICE_BYTES):
+            fp = text_fingerprints(batch.column(batch.schema.get_field_index(text)), width, seed).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp)], [*batch.schema.names, "__fp"])
+
+    # equal ids and fingerprints are one row each task before they meet, however many they are
+    one = several.mapInArrow(mark, f"{fields(docs)}, __fp long").withColumn(
+        "__rank", F.row_number().over(Window.partitionBy(key, "__fp").orderBy(text))).where("__rank = 1").drop("__rank")
+    met = own_id.eqNullSafe(F.col("__kept")) & (F.col("__fp") == F.col("__print"))
+    return docs.join(alone.select("__kept"), own_id == F.col("__kept"), "left_semi").unionByName(
+        one.join(kept, met, "left_semi").drop("__fp"))
