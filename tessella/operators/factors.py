@@ -23,6 +23,7 @@ from .ranking import sorted_rank
 
 USER, ITEM = 0, 1
 ROWS_PER_TASK = 1_000_000
+SLICE_ROWS = 1 << 14
 
 
 def _f(prefix: str, rank: int) -> list[str]:
@@ -198,6 +199,10 @@ class WeightedAls(Recommender):
     once per side, sorted by row within a partition, so a task adds up each row's K x K system as it
     streams by and hands on one sum per row. A row with a large share of all ratings is dealt to
     several tasks and its partial sums are added in a second step.
+
+    Fixed factors that fit a broadcast are broadcast. Others go by a routing table, which has for each
+    of them the blocks of ratings that need it: a half-step sends a factor once to each such block,
+    and no rating moves.
     """
 
     clipped = False
@@ -209,6 +214,7 @@ class WeightedAls(Recommender):
 
     def fit(self, ratings: DataFrame) -> WeightedAls:
         ratings = ratings.select("user", "item", "rating")
+        self.kinds = dict(ratings.dtypes)
         total_n = ratings.count()
         # the layout's width follows the data, not the session's shuffle setting
         parallel = ratings.sparkSession.sparkContext.defaultParallelism
@@ -216,7 +222,9 @@ class WeightedAls(Recommender):
         users, items = init_factors(ratings, self.rank, self.seed)
         users, items = cut_lineage(users), cut_lineage(items)
         self.n_users, self.n_items = users.count(), items.count()
-        layouts = {key: self._layout(ratings, table, key) for key, table in (("user", users), ("item", items))}
+        width = 24 + 8 * self.rank
+        layouts = {key: (self._layout if _is_small(fixed, width) else self._routed)(ratings, table, key)
+                   for key, table, fixed in (("user", users, self.n_items), ("item", items, self.n_users))}
         self.errors: list[float] = []
         before = 0.0
         for _ in range(self.max_sweeps):
@@ -228,12 +236,14 @@ class WeightedAls(Recommender):
             if abs(rmse - before) <= self.stop:
                 break
             before = rmse
-        for rows, _ in layouts.values():
-            rows.unpersist()
+        for layout in layouts.values():
+            for kept in layout[:-1]:
+                kept.unpersist()
         self.users, self.items = users, items
         return self
 
-    def _layout(self, ratings: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, bool]:
+    def _dealt(self, ratings: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, bool]:
+        """``ratings`` with ``_deal``, the share of a hot key that a rating is in, if there is any hot key."""
         other = "item" if key == "user" else "user"
         hot = table.where(F.col("n") > TASK_ROWS).select(key, F.ceil(F.col("n") / TASK_ROWS).alias("_shares"))
         many = hot.count()
@@ -242,31 +252,73 @@ class WeightedAls(Recommender):
             share = F.pmod(F.xxhash64(other), F.coalesce(F.col("_shares"), F.lit(1)))
             ratings = ratings.join(F.broadcast(hot) if _is_small(many, 32) else hot, key, "left").withColumn("_deal", share) \
                 .drop("_shares")
+        return ratings, split
+
+    def _layout(self, ratings: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, bool]:
+        ratings, split = self._dealt(ratings, table, key)
         dealt = ratings.repartition(self.tasks, *([key, "_deal"] if split else [key]))
         return dealt.sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK), split
 
-    def _half_step(self, layout: tuple[DataFrame, bool], key: str, other: str, factors: DataFrame, rows_n: int,
-                   reg: float) -> DataFrame:
-        rows, split = layout
+    def _routed(self, ratings: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, DataFrame, bool]:
+        """(blocks of ratings, routes, split): one row for each block, with the sorted ids that it needs and, by ``key``,
+        the places of its ratings among them; and (other id, block) for each id that a block needs. Both are kept as they
+        are partitioned, in no fewer parts than a shuffle has, so that a half-step reads them where they are."""
+        other = "item" if key == "user" else "user"
+        ratings, split = self._dealt(ratings, table, key)
+        kind = dict(ratings.dtypes)[other]
+        block = F.pmod(F.xxhash64(*([key, "_deal"] if split else [key])), F.lit(self.tasks))
+        parts = max(2 * self.tasks, int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+        def pack(rows: pa.Table) -> pa.Table:
+            keys, others, r = (rows.column(c).to_numpy() for c in (key, other, "rating"))
+            by = np.lexsort((others, keys))
+            needed, place = np.unique(others[by], return_inverse=True)
+            raw = {"_keys": keys[by].astype("<i8"), "_needed": needed.astype("<i8"), "_places": place.astype("<i4"),
+                   "_ratings": r[by].astype("<f8")}
+            return pa.table({"_block": [rows.column("_block")[0].as_py()], **{c: [a.tobytes()] for c, a in raw.items()}})
+
+        def routes(batches):
+            for batch in batches:
+                for block, needed in zip(batch.column("_block").to_pylist(), batch.column("_needed").to_pylist(), strict=True):
+                    ids = np.frombuffer(needed, "<i8")
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.full(len(ids), block))], [other, "_block"])
+
+        rows = ratings.select(block.alias("_block"), F.col(key).cast("long").alias(key), F.col(other).cast("long").alias(other), "rating")
+        packed = cut_lineage(rows.groupBy("_block").applyInArrow(
+            pack, "_block BIGINT, _keys BINARY, _needed BINARY, _places BINARY, _ratings BINARY"))
+        routed = packed.select("_block", "_needed").mapInArrow(routes, f"{other} BIGINT, _block BIGINT") \
+            .withColumn(other, F.col(other).cast(kind))
+        kept = [t.repartition(parts, by).persist(StorageLevel.MEMORY_AND_DISK) for t, by in ((packed, "_block"), (routed, other))]
+        for t in kept:
+            t.count()
+        return *kept, split
+
+    def _half_step(self, layout: tuple, key: str, other: str, factors: DataFrame, rows_n: int, reg: float) -> DataFrame:
+        return cut_lineage(self._solved(layout, key, other, factors, rows_n, reg))
+
+    def _solved(self, layout: tuple, key: str, other: str, factors: DataFrame, rows_n: int, reg: float) -> DataFrame:
+        *tables, split = layout
         rank = self.rank
         names = _f("f", rank)
-        fixed = Held(factors.select(other, "n", *names), rows_n)
-        width = 24 + 8 * rank
-        joined = fixed.join_to(rows, other, "inner", row_bytes=width)
-        if not _is_small(rows_n, width):  # a shuffled join loses the layout
-            joined = joined.repartition(self.tasks, *([key, "_deal"] if split else [key])).sortWithinPartitions(key)
         wide = [f"s{c}" for c in range(rank * (rank + 1) // 2 + rank + 2)]
-        kind = dict(rows.dtypes)[key]
+        kind = self.kinds[key]
         out_schema = f"{key} {kind}, n BIGINT, sse DOUBLE, " + ", ".join(f"{n} DOUBLE" for n in names)
-        read = joined.select(key, "rating", *names)
-        if split:
-            partial = read.mapInArrow(_sum_systems(key, rank, names, wide, None),
-                                      f"{key} {kind}, " + ", ".join(f"{w} DOUBLE" for w in wide))
-            summed = partial.groupBy(key).agg(*[F.expr(f"sum({w}) AS {w}") for w in wide])
-            solved = summed.mapInArrow(_solve_sums(key, rank, names, wide, reg), out_schema)
+        sum_schema = f"{key} {kind}, " + ", ".join(f"{w} DOUBLE" for w in wide)
+        systems = _sum_systems(key, rank, names, wide, None if split else reg)
+        schema = sum_schema if split else out_schema
+        if len(tables) == 1:
+            fixed = Held(factors.select(other, "n", *names), rows_n)
+            joined = fixed.join_to(tables[0], other, "inner", row_bytes=24 + 8 * rank)
+            made = joined.select(key, "rating", *names).mapInArrow(systems, schema)
         else:
-            solved = read.mapInArrow(_sum_systems(key, rank, names, wide, reg), out_schema)
-        return cut_lineage(solved)
+            blocks, routes = tables
+            sent = routes.join(factors.select(other, *names), other).select("_block", other, *names)
+            made = blocks.groupBy("_block").cogroup(sent.groupBy("_block")).applyInArrow(
+                _block_systems(key, other, names, systems, kind), schema)
+        if not split:
+            return made
+        summed = made.groupBy(key).agg(*[F.expr(f"sum({w}) AS {w}") for w in wide])
+        return summed.mapInArrow(_solve_sums(key, rank, names, wide, reg), out_schema)
 
     def raw(self, pairs: DataFrame) -> DataFrame:
         width = 24 + 8 * self.rank
@@ -330,6 +382,31 @@ def _sum_systems(key: str, rank: int, names: list[str], wide: list[str], reg: fl
     return run
 
 
+def _block_systems(key: str, other: str, names: list[str], systems: Callable, kind: str) -> Callable:
+    """A block's ratings with the factors that were sent to it, in slices, through ``systems``."""
+    def run(ratings: pa.Table, sent: pa.Table) -> pa.Table:
+        block = ratings.to_pylist()[0]  # factors are sent to blocks that have ratings only
+        keys, needed = np.frombuffer(block["_keys"], "<i8"), np.frombuffer(block["_needed"], "<i8")
+        place, r = np.frombuffer(block["_places"], "<i4"), np.frombuffer(block["_ratings"], "<f8")
+        ids = sent.column(other).to_numpy()
+        by = np.argsort(ids)
+        if not np.array_equal(ids[by], needed):
+            raise ValueError("a block of ratings lacks factors")
+        x = np.column_stack([sent.column(n).to_numpy() for n in names])[by]
+        keys = keys.astype(np.int32 if kind == "int" else np.int64)
+
+        def slices():
+            for lo in range(0, len(keys), SLICE_ROWS):
+                at = slice(lo, lo + SLICE_ROWS)
+                f = x[place[at]]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(r[at]), *[pa.array(f[:, c]) for c in range(len(names))]],
+                                                 [key, "rating", *names])
+
+        return pa.Table.from_batches(list(systems(slices())))
+
+    return run
+
+
 def _solve_sums(key: str, rank: int, names: list[str], wide: list[str], reg: float) -> Callable:
     def run(batches):
         for b in batches:

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from ..operators.blending import align, best_subset, evaluate_subsets, weigh_all
 from ..operators.cocluster import CoClustering
-from ..operators.factors import GradientFactors, LibraryAls
+from ..operators.factors import LibraryAls
 from ..operators.means import EntityMean, Recommender, global_mean
 from ..operators.neighbours import Neighbours, SlopeOne
 from ..operators.splits import parts, split_per_user
+from ..operators.strata import SequentialFactors
 from ..session import cut_lineage, scratch_path
 from ..sources.ratings import denormalise, read_predictions, write_predictions
 
@@ -26,8 +27,8 @@ MODELS: dict[str, Callable[[], Recommender]] = {
     "Item-based-KNN": lambda: Neighbours(90, "item"),
     "Item-based-KNN-baseline": lambda: Neighbours(90, "item", "baseline"),
     "Slope-One": lambda: SlopeOne(),
-    "SVD": lambda: GradientFactors(rank=10, epochs=400, gamma=0.0002, reg=0.009),
-    "SVD++": lambda: GradientFactors(rank=10, epochs=400, gamma=0.0002, reg=0.009, implicit=True),
+    "SVD": lambda: SequentialFactors(rank=10, epochs=400, gamma=0.0002, reg=0.009),
+    "SVD++": lambda: SequentialFactors(rank=10, epochs=400, gamma=0.0002, reg=0.009, implicit=True),
     "User-Mean": lambda: EntityMean("user", fallback=True),
     "User-based-KNN": lambda: Neighbours(900, "user"),
     "User-based-KNN-baseline": lambda: Neighbours(400, "user", "baseline"),

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..operators import factors as fc
 from ..operators.cocluster import CoClustering
+from ..operators.strata import SequentialFactors
+from ..operators.topn import top_unrated
 from ..operators.tuning import tune
 from ..oracles import kit as k
 from ..oracles import recommenders as rec
@@ -12,9 +14,9 @@ from . import query, r6
 from .means import shown, train_test
 
 
-def _sql(built):
+def _sql(built, recursive=False):
     ctes, select = built
-    return k.sql(select, k.RATINGS, k.SPLIT, *ctes)
+    return k.sql(select, k.RATINGS, k.SPLIT, *ctes, recursive=recursive)
 
 
 def _scored(spark, sf, model):
@@ -52,11 +54,36 @@ def rec_svdpp(spark, sf):
     return _scored(spark, sf, fc.GradientFactors(2, 2, 0.005, 0.02, implicit=True))
 
 
+@query(_sql(rec.sequential(10, 1, 0.005, 0.02, 0.02), recursive=True))
+def rec_svd_sequential(spark, sf):
+    return _scored(spark, sf, SequentialFactors(10, 1, 0.005, 0.02))
+
+
+@query(_sql(rec.sequential(20, 1, 0.01, 0.1, 0.7, decay=1.2, biased=False), recursive=True))
+def rec_mf_sequential(spark, sf):
+    return _scored(spark, sf, SequentialFactors.plain(rank=20, epochs=1))
+
+
 @query(_sql(rec.weighted_als(2, 3, 0.1, 0.7)))
 def rec_als_wr(spark, sf):
     return _scored(spark, sf, fc.WeightedAls(rank=2, stop=0.0, max_sweeps=3))
 
 
+def _unrated(n):
+    ctes, _ = rec.weighted_als(2, 3, 0.1, 0.7)
+    best = f"""select "user", item, {k.r6('s')} as prediction, place from (
+      select u as "user", i as item, s, row_number() over (partition by u order by s desc, i)::int as place from (
+        select p.u, q.i, p.f0 * q.f0 + p.f1 * q.f1 as s from p3 p, q3 q) anti join tr using (u, i)) where place <= {n}"""
+    return ctes, best
+
+
+@query(_sql(_unrated(10)))
+def recommend_top_n(spark, sf):
+    train, _ = train_test(spark, sf)
+    best = top_unrated(fc.WeightedAls(rank=2, stop=0.0, max_sweeps=3).fit(train), train, 10)
+    return best.withColumn("prediction", r6(F.col("prediction")))
+
+
 @query(_sql(rec.coclustering(2, 3, 2)))
 def rec_coclustering(spark, sf):
     return _scored(spark, sf, CoClustering(2, 3, 2))
