@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from . import dense
 from .lookup import Held
 from .means import Recommender, entity_means, global_mean
 from .tiles import Grid, both_ways, neighbour_sums, neighbour_top, pair_moments
@@ -70,6 +71,9 @@ class Neighbours(Recommender):
     ``style`` is ``means`` (centred ratings), ``zscore`` (standardised ratings) or ``baseline``
     (residuals of ``Baselines`` with shrunken correlations). Only positive similarities count; ties
     go to the lower id. Unseen users or items get the global mean, or the baseline.
+
+    Similarities are made and used in one task for each pair of blocks (see ``dense``) where a block's cells fit one;
+    otherwise they are added up over chunks of the other axis and kept as a table.
     """
 
     def __init__(self, k: int, entity: str = "user", style: str = "means", *, baselines: Baselines | None = None,
@@ -83,32 +87,46 @@ class Neighbours(Recommender):
         ratings = ratings.select("user", "item", "rating").persist(StorageLevel.MEMORY_AND_DISK)
         self.grid = self.grid or Grid.of(ratings, self.entity, self.other)
         key = self.entity
+        self.fused = dense.fits(ratings, key, self.grid)
         self.means = entity_means(ratings, key)
         self.others = Held.of(ratings.select(self.other).distinct().withColumn("_seen", F.lit(True)))
         if self.style == "baseline":
             self.baselines.fit(ratings)
             base = self.baselines.attach(ratings)
-            cells = base.withColumn("x", F.col("rating") - F.col("base"))
-            moments = pair_moments(cells, key, self.other, "x", grid=self.grid)
-            sims = shrunk_correlation(moments, self.shrinkage, self.least)
+            x = F.col("rating") - F.col("base")
+            cells = base.withColumns({"r": x, "x": x})
         else:
             self.mu, self.sd = ratings.agg(F.avg("rating"), F.stddev_pop("rating")).first()
             rows = self.means.join_to(ratings, key)
             x = F.col("rating") - F.col(f"{key}_mean")
-            cells = rows.withColumn("x", x / self._scale() if self.style == "zscore" else x)
-            sims = pearson(pair_moments(ratings, key, self.other, "rating", grid=self.grid), self.least)
-        self.cells = cut_lineage(cells.select("user", "item", "x"))
-        near = sims.where(F.col("sim") > 0).select("i", "j", F.col("sim").alias("w"), F.lit(0.0).alias("d"))
-        self.links = cut_lineage(both_ways(near))
+            cells = rows.withColumns({"r": F.col("rating"), "x": x / self._scale() if self.style == "zscore" else x})
+        self.cells = cut_lineage(cells.select("user", "item", "r", "x"))
+        if not self.fused:
+            self._link()
         ratings.unpersist()
         return self
 
+    def _link(self) -> None:
+        """The table of positive similarities, in both directions."""
+        moments = pair_moments(self.cells, self.entity, self.other, "r", grid=self.grid)
+        sims = shrunk_correlation(moments, self.shrinkage, self.least) if self.style == "baseline" else pearson(moments, self.least)
+        near = sims.where(F.col("sim") > 0).select("i", "j", F.col("sim").alias("w"), F.lit(0.0).alias("d"))
+        self.links = cut_lineage(both_ways(near))
+
+    def _similarity(self) -> dense.Similarity:
+        least, shrinkage = self.least, self.shrinkage
+        if self.style == "baseline":
+            return lambda s: dense.shrunk(s, least, shrinkage)
+        return lambda s: dense.pearson(s, least)
+
     def _scale(self) -> Column:
         std = F.col(f"{self.entity}_std")
         return F.when(std > 0, std).otherwise(F.lit(self.sd))
 
-    def raw(self, pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select("user", "item")
+    def _sums(self, wanted: DataFrame) -> DataFrame:
+        """num and den of each wanted pair's k nearest neighbours."""
+        if self.fused:
+            return dense.neighbour_scores(wanted, self.cells, self.entity, self.other, self.k, self._similarity(), self.grid)
         sums = neighbour_sums(wanted, self.cells, self.links, self.entity, self.other, "x", grid=self.grid)
         sums = cut_lineage(sums)
         over = sums.where(F.col("cnt") > self.k).select("user", "item")
@@ -119,6 +137,10 @@ class Neighbours(Recommender):
                                                    F.sum("w").alias("top_den"))
             sums = sums.join(best, ["user", "item"], "left").select(
                 "user", "item", F.coalesce("top_num", "num").alias("num"), F.coalesce("top_den", "den").alias("den"))
+        return sums.select("user", "item", "num", "den")
+
+    def raw(self, pairs: DataFrame) -> DataFrame:
+        sums = self._sums(pairs.select("user", "item"))
         shift = F.when(F.col("den") > 0, F.col("num") / F.col("den")).otherwise(F.lit(0.0))
         rows = pairs.join(sums, ["user", "item"], "left")
         if self.style == "baseline":

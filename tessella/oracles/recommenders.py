@@ -88,21 +88,22 @@ def sequential(rank: int, epochs: int, gamma: float, reg_u: float, reg_i: float,
                f"from tr group by {col})"
 
     def moved(vector, met, reg):
-        one = f"case when x > {rank} then {'1' if biased else '0'}.0::double else {met}[x] end"
+        one = f"case when x > {rank} then {'1' if biased else '0'}.0::double else {met} end"
         return f"list_transform({vector}, lambda a, x: a + g * (e * ({one}) - {reg!r}::double * a))"
 
+    new = f"(qv[x] + g * (e * pv[x] - {reg_i!r}::double * qv[x]))"  # the plain rule moves the item first
     offsets = f" - pv[{rank + 1}] - qv[{rank + 1}]" if biased else ""
     return [
-        f"mu as materialized (select {'avg(r)' if biased else '0.0::double'} as mu from tr)", start("user", "u"), start("item", "i"),
+        f"mu as materialized (select {'avg(r)' if biased else 'avg(r) * 0'} as mu from tr)", start("user", "u"), start("item", "i"),
         f"line as materialized (select row_number() over (order by ('0x' || substr(md5('{seed}:' || u || ':' || i), 1, 15))::bigint, u, i) "
         "as k, users.pos as uat, items.pos as iat, r, count(*) over () as n from tr join users using (u) join items using (i))",
         "run(kind, pos, v, t) using key (kind, pos) as (select 0, pos, v, 0::bigint from users union all select 1, pos, v, 0 from items "
         "union all select 2, 0, [], 0 union select unnest([0, 1, 2]), unnest([uat, iat, 0]), unnest([pn, qn, []]), t + 1 from ("
-        f"select *, {moved('pv', 'qv' if biased else 'qn', reg_u)} as pn from (select *, {moved('qv', 'pv', reg_i)} as qn from ("
+        f"select *, {moved('pv', 'qv[x]' if biased else new, reg_u)} as pn, {moved('qv', 'pv[x]', reg_i)} as qn from ("
         f"select c.t, uat, iat, p.v as pv, q.v as qv, {gamma!r}::double / pow({decay!r}::double, c.t // n + 1) as g, "
         f"r - mu{offsets.replace('pv', 'p.v').replace('qv', 'q.v')} - list_inner_product(p.v[1:{rank}], q.v[1:{rank}]) as e "
         "from run c join line on line.k = c.t % n + 1 join recurring.run p on p.kind = 0 and p.pos = uat "
-        f"join recurring.run q on q.kind = 1 and q.pos = iat, mu where c.kind = 2 and c.t < n * {epochs}))))",
+        f"join recurring.run q on q.kind = 1 and q.pos = iat, mu where c.kind = 2 and c.t < n * {epochs})))",
     ], ('select te.u as "user", te.i as item, ' + k.r6(
         (k.clip if biased else str)(f"mu + p.v[{rank + 1}] + q.v[{rank + 1}] + list_inner_product(p.v[1:{rank}], q.v[1:{rank}])"))
         + " as prediction from te join users using (u) join items using (i) join run p on p.kind = 0 and p.pos = users.pos "
