@@ -11,16 +11,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import dot, sigmoid
+from ..session import cut_lineage
 from .gram import Moments, complete_rows, moments, solve
 from .ranking import hash_rank
 
 STOP_BELOW = 1e-8  # change of the penalised logistic loss that ends the descent
 WIDE = 12  # columns from which a logistic pass runs on Arrow batches
+STEP_FAN_IN = 16  # step maps of neighbouring tasks that one task composes
 GRID_CELLS = 1 << 19  # rows x settings of one product inside a task
 
 
@@ -63,46 +65,118 @@ def descend(m: Moments, cols: Sequence[str], w0: np.ndarray, steps: int, gamma:
     return Linear(list(cols), w, loss, steps)
 
 
-def draw_batches(df: DataFrame, cols: Sequence[str], y: str, steps: int, batch: int = 1, seed: int = 1,
-                 key: str = "id") -> list[Moments]:
-    """The moments of ``batch`` uniformly drawn rows for each of ``steps`` steps, drawn with replacement.
+@dataclass
+class StepMap:
+    """What a run of descent steps does to any weights: w becomes a w + c. Runs in a row compose."""
 
-    Draws are ranks in hash order. Only the hash buckets that hold a drawn rank are shuffled. Single rows come back as
-    they are, at most ``steps`` of them; of larger batches the moments do. Rows with a gap are never drawn.
-    """
-    import hashlib
+    a: np.ndarray
+    c: np.ndarray
 
-    df = complete_rows(df, [y, *cols])
-    n = df.count()
+    def then(self, later: StepMap) -> StepMap:
+        return StepMap(later.a @ self.a, later.a @ self.c + later.c)
 
-    def draw(*at: int) -> int:
-        return int(int(hashlib.md5(":".join(map(str, (seed, *at))).encode()).hexdigest()[:8], 16) / 4294967296.0 * n)
 
-    draws = [(t, draw(t, b) if b else draw(t)) for t in range(1, steps + 1) for b in range(batch)]
-    ranked = hash_rank(df.select(key, y, *cols), key, seed, "_rank", only=[r for _, r in draws])
-    if batch == 1:
-        at = {r["_rank"]: (np.array([r[c] for c in cols], float), float(r[y])) for r in ranked.collect()}
-        rows = [at[rank] for _, rank in draws]
-        return [Moments(1.0, np.outer(x, x), x * target, target * target) for x, target in rows]
-    dealt = ranked.join(df.sparkSession.createDataFrame(draws, "_step INT, _rank BIGINT"), "_rank")
-    by = moments(dealt, cols, y, by="_step")
-    return [by[t] for t in range(1, steps + 1)]
+def draw_rows(df: DataFrame, cols: Sequence[str], y: str, steps: int, batch: int = 1, seed: int = 1,
+              key: str = "id") -> DataFrame:
+    """``_step`` from 1, ``y`` and ``cols`` of the rows drawn for each step, uniformly and with replacement.
 
+    Draws are ranks in hash order, and Spark draws them. Only the hash buckets that hold a drawn rank are shuffled. Rows
+    with a gap are never drawn.
+    """
+    df = complete_rows(df, [y, *cols])
+    n = df.count()
+    spark = df.sparkSession
+    at = F.col("id")
+    step, place = (at / batch).cast("bigint") + 1, at % batch
+    # a step's first draw is named by the step alone
+    name = F.concat_ws(":", F.lit(str(seed)), step, F.when(place > 0, place))
+    share = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / 4294967296.0
+    draws = cut_lineage(spark.range(steps * batch).select(step.alias("_step"), F.floor(share * n).alias("_rank")))
+    asked = [r["_rank"] for r in draws.select("_rank").distinct().toLocalIterator()]
+    ranked = hash_rank(df.select(key, y, *cols), key, seed, "_rank", only=asked)
+    return ranked.join(draws, "_rank").select("_step", y, *cols)
+
+
+def step_maps(drawn: DataFrame, cols: Sequence[str], y: str, gammas: Sequence[float]) -> list[StepMap]:
+    """The map of all steps in order, for each step length: half the mean squared error of a step's rows goes down.
+
+    A task folds the steps of its range, and neighbouring tasks' maps are composed in a tree, so the driver gets D x D
+    numbers for each step length whatever the number of steps.
+    """
+    d, rates = len(cols), np.array(gammas)
+    fan_in = STEP_FAN_IN
+    schema = "_place INT, _maps BINARY"
 
-def descend_drawn(drawn: Sequence[Moments], cols: Sequence[str], w0: np.ndarray, gamma: float) -> Linear:
-    """One step of descent for each drawn batch; the loss is that of the last batch before its step."""
-    w, loss = np.array(w0, float), float("nan")
-    for m in drawn:
-        loss = m.sse(w) / m.n / 2
-        with np.errstate(over="ignore", invalid="ignore"):
-            w = w - gamma * (m.xx @ w - m.xy) / m.n
-    return Linear(list(cols), w, loss, len(drawn))
+    def fold(batches):
+        maps = np.zeros((len(rates), d, d + 1))
+        maps[:, :, :d] = np.eye(d)
+        held, seen = None, False
 
+        def apply(x, t):
+            # a step: w - gamma / n * X'(X w - y), on the map's columns and on its constant
+            inner = np.einsum("nd,gdk->gnk", x, maps)
+            inner[:, :, d] -= t
+            maps[:] -= np.einsum("nd,gnk->gdk", x, inner) * (rates / len(t))[:, None, None]
 
-def descend_stochastic(df: DataFrame, cols: Sequence[str], y: str, w0: np.ndarray, steps: int, gamma: float,
-                       seed: int = 1, key: str = "id", batch: int = 1) -> Linear:
-    """Stochastic descent on half the mean squared error of ``batch`` drawn rows in each step."""
-    return descend_drawn(draw_batches(df, cols, y, steps, batch, seed, key), cols, w0, gamma)
+        with np.errstate(over="ignore", invalid="ignore"):
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                seen = True
+                step = b.column("_step").to_numpy()
+                x = np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in cols])
+                t = b.column(y).to_numpy(zero_copy_only=False)
+                if held is not None:
+                    step, x, t = np.r_[held[0], step], np.vstack([held[1], x]), np.r_[held[2], t]
+                cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(step)]
+                for lo, hi in zip(cuts[:-2], cuts[1:-1], strict=True):
+                    apply(x[lo:hi], t[lo:hi])
+                held = step[cuts[-2]:], x[cuts[-2]:], t[cuts[-2]:]  # a step may go on in the next batch
+            if held is not None:
+                apply(held[1], held[2])
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()),
+                                              pa.array([maps.tobytes()], pa.binary())], ["_place", "_maps"])
+
+    def opened(data: bytes) -> list[StepMap]:
+        return [StepMap(m[:, :d], m[:, d]) for m in np.frombuffer(data).reshape(len(rates), d, d + 1)]
+
+    def compose(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table.column("_place").to_pylist(), table.column("_maps").to_pylist(), strict=True))
+        total = opened(rows[0][1])
+        with np.errstate(over="ignore", invalid="ignore"):
+            for _, data in rows[1:]:
+                total = [m.then(later) for m, later in zip(total, opened(data), strict=True)]
+        packed = np.stack([np.column_stack([m.a, m.c]) for m in total]).tobytes()
+        return pa.table({"_place": pa.array([rows[0][0] // fan_in], pa.int32()), "_maps": pa.array([packed], pa.binary())})
+
+    parts = drawn.sparkSession.sparkContext.defaultParallelism
+    read = drawn.select("_step", y, *cols).repartitionByRange(parts, "_step").sortWithinPartitions("_step")
+    maps = read.mapInArrow(fold, schema)
+    while parts > 1:
+        maps = maps.groupBy(F.floor(F.col("_place") / fan_in).alias("_group")).applyInArrow(compose, schema)
+        parts = -(-parts // fan_in)
+    row = maps.first()
+    return opened(row["_maps"]) if row else [StepMap(np.eye(d), np.zeros(d)) for _ in rates]
+
+
+def descend_stochastic(df: DataFrame, cols: Sequence[str], y: str, w0: np.ndarray, steps: int, gammas: Sequence[float],
+                       seed: int = 1, key: str = "id", batch: int = 1) -> list[Linear]:
+    """Stochastic descent on half the mean squared error of ``batch`` drawn rows in each step, for each step length.
+
+    The loss is that of the last step's rows before that step.
+    """
+    drawn = cut_lineage(draw_rows(df, cols, y, steps, batch, seed, key))
+    before = step_maps(drawn.where(F.col("_step") < steps), cols, y, gammas)
+    last = drawn.where(F.col("_step") == steps)
+    end = step_maps(last, cols, y, gammas)
+    m = moments(last, cols, y).get(None)
+    out = []
+    with np.errstate(over="ignore", invalid="ignore"):
+        for first, then in zip(before, end, strict=True):
+            w = first.a @ np.array(w0, float) + first.c
+            out.append(Linear(list(cols), then.a @ w + then.c, m.sse(w) / m.n / 2 if m else float("nan"), steps))
+    return out
 
 
 def _logistic_pass(df: DataFrame, cols: list[str], y: str, w: np.ndarray,

@@ -109,6 +109,42 @@ def hash_rank(df: DataFrame, key: str, seed: int, rank: str = "rank", below: int
     return out if below is None else out.where(F.col(rank) < below)
 
 
+def grouped_thresholds(df: DataFrame, by: str, key: str, seed: int, ratio: float) -> DataFrame:
+    """``by, limit``: for each group of n rows the digest below which exactly floor(ratio * n) of them fall.
+
+    ``key`` is unique. A pass counts, for all groups at once, the rows by the next hex digits of their digest, inside the
+    prefix that holds the group's position; a group's bucket of ``SMALL`` rows or fewer is ordered in one task. So the
+    number of jobs follows the largest group and not the number of groups. A null group is one of its own.
+    """
+    rows = df.select(F.col(by).alias("_g"), digest(seed, key).alias("_h"))
+    counts = rows.groupBy("_g").count().select("_g", F.floor(F.lit(ratio) * F.col("count")).cast("bigint").alias("_rank"),
+                                               F.col("count").alias("_n"))
+    sized = cut_lineage(counts)
+    # all rows of the group are below a letter that no digest has
+    ended = [sized.where(F.col("_rank") >= F.col("_n")).select("_g", F.lit("g").alias("limit"))]
+    state = sized.where(F.col("_rank") < F.col("_n")).select("_g", F.lit("").alias("_prefix"), "_rank", "_n")
+    width = 0
+    while True:
+        here = state.withColumnRenamed("_g", "_of")
+        inside = rows.join(here, F.col("_g").eqNullSafe(F.col("_of")) & (F.substring("_h", 1, width) == F.col("_prefix"))).drop("_of")
+        small = inside.where((F.col("_n") <= SMALL) | F.lit(width >= 30))
+        place = F.row_number().over(W.partitionBy("_g").orderBy("_h"))
+        ended.append(cut_lineage(small.withColumn("_place", place).where(F.col("_place") == F.col("_rank") + 1).select("_g", F.col("_h").alias("limit"))))
+        large = state.where((F.col("_n") > SMALL) & F.lit(width < 30))
+        if large.isEmpty():
+            break
+        width += HEX
+        cells = inside.where(F.col("_n") > SMALL).groupBy("_g", F.substring("_h", 1, width).alias("_prefix"), "_rank").count()
+        before = F.sum("count").over(W.partitionBy("_g").orderBy("_prefix")) - F.col("count")
+        state = cut_lineage(cells.withColumn("_before", before).where(
+            (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("count"))).select(
+            "_g", "_prefix", (F.col("_rank") - F.col("_before")).alias("_rank"), F.col("count").alias("_n")))
+    out = ended[0]
+    for part in ended[1:]:
+        out = out.unionByName(part)
+    return out.withColumnRenamed("_g", by)
+
+
 def hot_groups(df: DataFrame, by: str) -> DataFrame | None:
     """``by, _pieces``: the groups too large for one task to order, and the tasks each needs; None if there are none.
 

@@ -16,7 +16,8 @@ from ..operators import linear as lm
 from ..operators import tuning
 from ..operators.gram import Moments, complete_rows, moments
 from ..operators.metrics import penalty, weighted_accuracy
-from ..operators.ranking import exact_medians, hash_thresholds
+from ..operators.lookup import Held
+from ..operators.ranking import exact_medians, grouped_thresholds
 from ..operators.splits import fold_exact, split_exact
 from ..sources.features import encode_label, submission
 
@@ -160,8 +161,9 @@ class Experiment:
             return [[m for m, _ in r] for r in rows_of], [[e for _, e in r] for r in rows_of]
         none = [[float("nan")] * len(held_out) for _ in configs]
         if self.family == "sgd":
-            drawn = [lm.draw_batches(rows.where(~self._part(i)), cols, "y", self.steps, self.batch, self.seed) for i in parts]
-            return [[lm.descend_drawn(drawn[i], cols, w0, c["gamma"]) for i in parts] for c in configs], none
+            done = [lm.descend_stochastic(rows.where(~self._part(i)), cols, "y", w0, self.steps, [c["gamma"] for c in configs],
+                                          self.seed, batch=self.batch) for i in parts]
+            return [[done[i][s] for i in parts] for s in range(len(configs))], none
         return [[self._fit(rows, whole - held_out[i], cols, w0, c) for i in parts] for c in configs], none
 
     def _fit(self, rows: DataFrame, m: Moments, cols: list[str], w0: np.ndarray, c: Mapping) -> lm.Linear:
@@ -172,7 +174,7 @@ class Experiment:
         if self.family == "gd":
             return lm.descend(m, cols, w0, self.steps, c["gamma"])
         if self.family == "sgd":
-            return lm.descend_stochastic(rows, cols, "y", w0, self.steps, c["gamma"], self.seed, batch=self.batch)
+            return lm.descend_stochastic(rows, cols, "y", w0, self.steps, [c["gamma"]], self.seed, batch=self.batch)[0]
         if self.family == "logistic":
             return lm.logistic(rows, cols, "y", w0, self.steps, c["gamma"], newton=self.newton)
         if self.family == "logistic_l2":
@@ -246,15 +248,17 @@ class SegmentedRidge:
 
     def fit(self, df: DataFrame) -> SegmentedRidge:
         wide = self._wide(df).withColumn("y", encode_label())
-        keyed = wide.select("id", "_seg").persist(StorageLevel.MEMORY_AND_DISK)
-        sizes = {r["_seg"]: r["count"] for r in keyed.groupBy("_seg").count().collect()}
-        limits = {s: hash_thresholds(keyed.where(F.col("_seg") == s), "id", self.seed, [int(np.floor(self.ratio * n))])[0]
-                  for s, n in sizes.items() if s in self.plans}
+        spark, self.kind = df.sparkSession, dict(wide.dtypes)["_seg"]
+        planned = spark.createDataFrame([(int(s),) for s in self.plans], "_seg BIGINT")
+        keyed = wide.select("id", F.col("_seg").cast("bigint").alias("_seg")).join(F.broadcast(planned), "_seg", "left_semi") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        limits = Held.of(grouped_thresholds(keyed, "_seg", "id", self.seed, self.ratio))
         keyed.unpersist()
         # rows of a segment without a plan are no training rows
-        limit = F.create_map(*[F.lit(v) for kv in limits.items() for v in kv])[F.coalesce("_seg", F.lit(min(limits) - 1))]
+        placed = limits.join_to(wide.withColumn("_seg", F.col("_seg").cast("bigint")), "_seg")
         # read by the fit and by every score of it
-        self.rows = wide.withColumn("is_train", F.coalesce(digest(self.seed, "id") < limit, F.lit(False))).persist(StorageLevel.MEMORY_AND_DISK)
+        self.rows = placed.withColumn("is_train", F.coalesce(digest(self.seed, "id") < F.col("limit"), F.lit(False))) \
+            .drop("limit").persist(StorageLevel.MEMORY_AND_DISK)
         by = moments(self.rows.where("is_train"), self.all_cols, "y", by="_seg")
         bias = self.all_cols.index(ft.BIAS)
         self.lean = sum(m.xy[bias] for m in by.values())
@@ -263,23 +267,26 @@ class SegmentedRidge:
             own = self._own(s)
             if s in by:
                 self.models[s] = lm.ridge(by[s].pick([self.all_cols.index(c) for c in own]), own, p.lam)
+        # weights by segment as a table, so that a score is one join however many segments there are
+        weights = [(int(s), [float(dict(zip(m.cols, m.w, strict=True)).get(c, 0.0)) for c in self.all_cols]) for s, m in self.models.items()]
+        self.weights = Held.of(spark.createDataFrame(weights, "_seg BIGINT, _w ARRAY<DOUBLE>"))
         return self
 
-    def label(self) -> Column:
-        score = None
-        for s, m in self.models.items():
-            score = F.when(F.col("_seg") == s, m.score()) if score is None else score.when(F.col("_seg") == s, m.score())
-        return class_label(score.otherwise(F.lit(float(self.lean))))
+    def _labelled(self, wide: DataFrame) -> DataFrame:
+        """``wide`` with ``_class``, the predicted class."""
+        rows = self.weights.join_to(wide.withColumn("_seg", F.col("_seg").cast("bigint")), "_seg", row_bytes=32 + 8 * len(self.all_cols))
+        score = sum((F.col(c) * F.col("_w")[i] for i, c in enumerate(self.all_cols)), F.lit(0.0))
+        return rows.withColumn("_class", class_label(F.coalesce(score, F.lit(float(self.lean))))).drop("_w")
 
     def accuracies(self) -> DataFrame:
         """``segment, is_train, n, accuracy`` on the fitted table."""
-        hit = F.when(F.col("y") == self.label(), 1.0).otherwise(0.0)
-        return self.rows.groupBy(F.col("_seg").alias("segment"), "is_train").agg(
+        hit = F.when(F.col("y") == F.col("_class"), 1.0).otherwise(0.0)
+        return self._labelled(self.rows).groupBy(F.col("_seg").cast(self.kind).alias("segment"), "is_train").agg(
             F.count(F.lit(1)).alias("n"), F.avg(hit).alias("accuracy"))
 
     def overall(self) -> DataFrame:
-        hit = F.when(F.col("y") == self.label(), 1.0).otherwise(0.0)
-        return weighted_accuracy(self.rows, "_seg", "is_train", hit, {True: self.ratio, False: 1 - self.ratio})
+        hit = F.when(F.col("y") == F.col("_class"), 1.0).otherwise(0.0)
+        return weighted_accuracy(self._labelled(self.rows), "_seg", "is_train", hit, {True: self.ratio, False: 1 - self.ratio})
 
     def predict(self, df: DataFrame) -> DataFrame:
-        return submission(self._wide(df).select("id", self.label().alias("prediction")))
+        return submission(self._labelled(self._wide(df)).select("id", F.col("_class").alias("prediction")))

@@ -39,6 +39,15 @@ def mf_init(spark, sf):
     return out[0].unionByName(out[1])
 
 
+@query(k.sql(f"select {k.r6('sqrt(avg(pow(r - (p.f0 * q.f0 + p.f1 * q.f1 + p.f2 * q.f2), 2)))')} as rmse "
+             "from r join v p on p.kind = 'user' and p.id = u join v q on q.kind = 'item' and q.id = i", k.RATINGS,
+             f"v as materialized ({_INIT.replace('(round(', '((').replace(', 6) + 0.0)', '))')})"))
+def mf_observed_rmse(spark, sf):
+    """The error of the first factors over the observed cells."""
+    rows = views.ratings(spark, sf)
+    return fc.observed_rmse(rows, *fc.init_factors(rows, 3), 3).select(r6(F.col("rmse")).alias("rmse"))
+
+
 @query(_sql(rec.gradient(2, 3, 0.01, 0.1, 0.7, decay=1.2, biased=False)))
 def rec_mf_gradient(spark, sf):
     return _scored(spark, sf, fc.GradientFactors.plain(rank=2, epochs=3))

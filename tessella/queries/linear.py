@@ -63,7 +63,7 @@ _SGD = (k.ranked("rk", "d", 1),
 
 @query(k.sql(k.weights_out(X, "w"), *DESIGN, *_SGD, recursive=True))
 def fit_sgd(spark, sf):
-    return weights(spark, lm.descend_stochastic(design(spark, sf), X, "y", np.zeros(5), 30, 0.001))
+    return weights(spark, lm.descend_stochastic(design(spark, sf), X, "y", np.zeros(5), 30, [0.001])[0])
 
 
 _BATCHES = (k.ranked("rk", "d", 1),
@@ -80,7 +80,7 @@ _BATCHES = (k.ranked("rk", "d", 1),
 @query(k.sql(k.weights_out(X, "w"), *DESIGN, *_BATCHES, recursive=True))
 def fit_sgd_batch(spark, sf):
     """Eight drawn rows for each step."""
-    return weights(spark, lm.descend_stochastic(design(spark, sf), X, "y", np.zeros(5), 20, 0.001, batch=8))
+    return weights(spark, lm.descend_stochastic(design(spark, sf), X, "y", np.zeros(5), 20, [0.001], batch=8)[0])
 
 
 def _logistic_sql(d, steps, gamma, lam=0.0, newton=False):

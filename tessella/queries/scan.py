@@ -7,6 +7,7 @@ from ..oracles import kit as k
 from ..operators.means import EntityMean
 from ..operators.splits import parts, split_per_user
 from ..session import scratch_path
+from ..sources import checked
 from ..sources import features as fs
 from ..sources import ratings as rs
 from ..sources import views
@@ -39,6 +40,60 @@ def submission_classes(spark, sf):
     return fs.submission(binary)
 
 
+@query(k.sql("select id::bigint as \"Id\", case when f0 > 2.5 then 1 else -1 end as \"Prediction\" from f", k.FEATURES))
+def submission_file(spark, sf):
+    """The classes written as a CSV file and read again."""
+    path = scratch_path(spark, "submission")
+    fs.write_submission(submission_classes(spark, sf), path)
+    return spark.read.csv(path, header=True, schema="Id BIGINT, Prediction INT")
+
+
+def _damaged(df: DataFrame, key: str, cols: list[str], path: str) -> None:
+    """The rows as CSV text without a header; by ``key`` some have a word for a number, some lack fields, some have too many."""
+    text = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    kind = F.pmod(F.col(key), F.lit(50))
+    df.select(F.when(kind == 3, F.concat(text, F.lit("x"))).when(kind == 7, F.substring_index(text, ",", len(cols) - 1))
+              .when(kind == 11, F.concat(text, F.lit(",1"))).otherwise(text).alias("value")).write.text(path)
+
+
+_DAMAGED = "% 50 in (3, 7, 11)"
+
+
+@query(k.sql("select id, label, " + ", ".join(f"{k.r9(c)} as {c}" for c in k.FS)
+             + f", (select count(*) from nf where id {_DAMAGED})::bigint as n_bad from nf where not id {_DAMAGED}", k.FEATURES, k.NULLED))
+def load_features_damaged(spark, sf):
+    """A labelled file with damaged rows: the good rows, and how many are bad."""
+    path = scratch_path(spark, "damaged-features")
+    _damaged(nulled(spark, sf), "id", ["id", "label", *views.FEATURES], path)
+    found = checked.read_labelled_checked(spark, path, len(views.FEATURES), header=False)
+    return found.good.select("id", "label", *[r9(F.col(c)).alias(c) for c in views.FEATURES], F.lit(found.n_bad).cast("long").alias("n_bad"))
+
+
+@query(k.sql("select u as \"user\", i as item, r as rating, "
+             f"(select count(*) from r where (u * 100 + i) {_DAMAGED} or (u + i) % 31 = 0)::bigint as n_bad from r "
+             f"where not ((u * 100 + i) {_DAMAGED} or (u + i) % 31 = 0)", k.RATINGS))
+def normalize_ratings_damaged(spark, sf):
+    """An upstream file with damaged rows, ids of another form and ratings out of range."""
+    path = scratch_path(spark, "damaged-ratings")
+    rows = views.ratings(spark, sf)
+    spoilt = F.pmod(F.col("user") + F.col("item"), F.lit(31)) == 0
+    named = F.concat(F.lit("r"), F.col("user") + 1, F.when(spoilt & (F.col("user") % 2 == 0), "-c").otherwise("_c"), F.col("item") + 1)
+    rated = F.when(spoilt & (F.col("user") % 2 == 1), 9).otherwise(F.col("rating").cast("int"))
+    _damaged(rows.select((F.col("user") * 100 + F.col("item")).alias("key"), named.alias("Id"), rated.alias("Prediction")), "key",
+             ["Id", "Prediction"], path)
+    found = checked.read_ratings_checked(spark, path, header=False)
+    return found.good.withColumn("n_bad", F.lit(found.n_bad).cast("long"))
+
+
+@query(k.sql("select u as \"user\", i as item, r as rating from r", k.RATINGS))
+def load_item_major(spark, sf):
+    """A file whose ids name the item first: the same triplets from the other form."""
+    path = scratch_path(spark, "item-major")
+    turned = views.ratings(spark, sf).select(F.col("item").alias("user"), F.col("user").alias("item"), "rating")
+    rs.denormalise(turned).write.csv(path, header=True)
+    return rs.normalise(rs.read_upstream(spark, path), row="item", col="user")
+
+
 @query(k.sql("select u as \"user\", i as item, r as rating from r", k.RATINGS))
 def normalize_ratings(spark, sf):
     """Upstream text file out and in again, then normalised."""

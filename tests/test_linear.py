@@ -175,9 +175,58 @@ def test_a_grid_moves_as_its_settings_do_alone(spark, data, newton):
         assert (inside > 0) == (h >= 0)
 
 
-def test_drawn_batches_have_the_moments_of_their_rows(data):
+@pytest.mark.parametrize("batch,steps", [(1, 10_000), (16, 40)])
+def test_step_maps_are_the_steps_one_after_another(data, batch, steps):
     df, x, y = data
-    drawn = lm.draw_batches(df, COLS, "y", 5, batch=16)
-    assert [m.n for m in drawn] == [16.0] * 5 and all(m.xx[0, 0] == 16.0 for m in drawn)
-    w = lm.descend_drawn(drawn, COLS, np.zeros(4), 0.1).w
-    assert np.mean((y - x @ w) ** 2) < np.mean(y ** 2)
+    drawn = lm.draw_rows(df, COLS, "y", steps, batch=batch).toPandas().sort_values("_step", kind="stable")
+    assert (drawn.groupby("_step").size() == batch).all() and drawn["_step"].nunique() == steps
+    got = lm.descend_stochastic(df, COLS, "y", np.ones(4), steps, [0.003, 0.02], batch=batch)
+    for gamma, model in zip((0.003, 0.02), got, strict=True):
+        w = np.ones(4)
+        for _, rows in drawn.groupby("_step"):
+            a, t = rows[COLS].to_numpy(), rows["y"].to_numpy()
+            loss = np.mean((t - a @ w) ** 2) / 2
+            w = w - gamma * a.T @ (a @ w - t) / batch
+        assert np.allclose(model.w, w, rtol=1e-9, atol=1e-12) and model.loss == pytest.approx(loss)
+    assert np.mean((y - x @ got[1].w) ** 2) < np.mean((y - x @ np.ones(4)) ** 2)
+
+
+def test_step_maps_compose_in_order(data, monkeypatch):
+    df, _, _ = data
+    whole = lm.descend_stochastic(df, COLS, "y", np.zeros(4), 300, [0.01])[0].w
+    monkeypatch.setattr(lm, "STEP_FAN_IN", 2)  # a tree of several floors
+    assert np.allclose(lm.descend_stochastic(df, COLS, "y", np.zeros(4), 300, [0.01])[0].w, whole)
+    one = lm.descend_stochastic(df, COLS, "y", np.zeros(4), 1, [0.01])[0]
+    assert one.steps == 1 and np.isfinite(one.loss)
+
+
+def test_thresholds_of_many_groups_in_as_many_jobs_as_of_few(spark, monkeypatch):
+    from tessella.functions.scalars import digest
+    from tessella.operators import ranking
+
+    monkeypatch.setattr(ranking, "SMALL", 40)
+    jobs = []
+    for groups in (3, 10_000):
+        # one large group, the others of one to three rows, and rows without a group
+        rows = spark.range(30_000).select("id", F.when(F.col("id") < 8000, 0).when(F.col("id") < 8100, None)
+                                          .otherwise(1 + F.col("id") % (groups - 1)).alias("g")).persist()
+        rows.count()
+        before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+        limits = ranking.grouped_thresholds(rows, "g", "id", 7, 0.8)
+        seen = limits.toPandas()
+        jobs.append(len(set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - set(before)))
+        placed = rows.withColumn("h", digest(7, "id")).join(limits.withColumnRenamed("g", "of"), F.col("g").eqNullSafe(F.col("of")))
+        got = placed.groupBy("of").agg(F.count("*").alias("n"), F.count_if(F.col("h") < F.col("limit")).alias("below")).toPandas()
+        assert len(seen) == len(got) and (got["below"] == np.floor(0.8 * got["n"])).all() and got["n"].sum() == 30_000
+        rows.unpersist()
+    assert jobs[1] <= jobs[0] + 2
+
+
+def test_a_model_for_each_of_a_thousand_segments(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 1000).cast("int").alias("s"), (F.col("id") / 7 % 1).alias("f0")) \
+        .withColumn("label", F.when((F.col("f0") > 0.5) == (F.col("s") % 2 == 0), "s").otherwise("b"))
+    plans = {s: SegmentPlan(["f0"], 1, 1e-6) for s in range(1000)}
+    model = SegmentedRidge(F.col("s"), plans).fit(df)
+    assert model.accuracies().count() == 2000
+    hits = model.accuracies().agg(F.sum(F.col("n") * F.col("accuracy")) / F.sum("n")).first()[0]
+    assert hits > 0.85
