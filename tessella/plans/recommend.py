@@ -18,6 +18,7 @@ from ..operators.splits import parts, split_per_user
 from ..operators.strata import SequentialFactors
 from ..session import cut_lineage, scratch_path
 from ..sources.ratings import denormalise, read_predictions, write_predictions
+from .stages import Manifest, digest, settings
 
 # fixed values: the twelve models with the settings they are blended with
 MODELS: dict[str, Callable[[], Recommender]] = {
@@ -36,14 +37,21 @@ MODELS: dict[str, Callable[[], Recommender]] = {
 }
 
 
-def predict_all(train: DataFrame, pairs: DataFrame, models: Mapping[str, Callable[[], Recommender]]) -> DataFrame:
+def predict_all(train: DataFrame, pairs: DataFrame, models: Mapping[str, Callable[[], Recommender]],
+                manifest: Manifest | None = None) -> DataFrame:
     """Long ``model, user, item, prediction`` table of every model trained on ``train``.
 
     It is written out, partitioned by model, so that each model is trained once and a blend reads
-    only its members.
+    only its members. With a ``manifest`` each model is a stage of its own, and one that a former run has written for the
+    same settings, ratings and pairs isn't trained again.
     """
     spark = train.sparkSession
     train, pairs = cut_lineage(train), cut_lineage(pairs.select("user", "item"))
+    if manifest is not None:
+        given = f"{digest(train.select('user', 'item', 'rating'))}|{digest(pairs)}"
+        tables = [manifest.table(f"predict {name}", f"{settings(build())}|{given}", lambda build=build: build().fit(train).transform(
+            pairs).select("user", "item", "prediction")).select(F.lit(name).alias("model"), "*") for name, build in models.items()]
+        return reduce(DataFrame.unionByName, tables)
     made = [build().fit(train).transform(pairs).select(F.lit(name).alias("model"), "user", "item", "prediction")
             for name, build in models.items()]
     path = scratch_path(spark, "predictions")
@@ -88,12 +96,17 @@ def blend(testing: DataFrame, test_predictions: DataFrame, wanted: DataFrame, wa
 
 
 def recommend(ratings: DataFrame, wanted: DataFrame, models: Mapping[str, Callable[[], Recommender]] | None = None,
-              ratio: float = 0.9, seed: int = 988, lam: float = 0.001) -> tuple[Blend, DataFrame]:
-    """The blend and the final upstream table ``Id, Prediction`` for the wanted pairs."""
+              ratio: float = 0.9, seed: int = 988, lam: float = 0.001, folder: str | None = None) -> tuple[Blend, DataFrame]:
+    """The blend and the final upstream table ``Id, Prediction`` for the wanted pairs.
+
+    With a ``folder``, the models' predictions are stages of a ``Manifest`` there: a run that is started again with the
+    same inputs trains only what is missing. Remove it with ``Manifest(spark, folder).remove()`` after use.
+    """
+    manifest = Manifest(ratings.sparkSession, folder) if folder else None
     models = models or MODELS
     ratings, wanted = cut_lineage(ratings), cut_lineage(wanted.select("user", "item").distinct())  # read by every model
     train, test = parts(cut_lineage(split_per_user(ratings, ratio, seed)))
-    on_test = predict_all(train, test, models)
-    on_wanted = predict_all(ratings, wanted, models)
+    on_test = predict_all(train, test, models, manifest)
+    on_wanted = predict_all(ratings, wanted, models, manifest)
     chosen = blend(test, on_test, wanted, on_wanted, list(models), global_mean(ratings), lam)
     return chosen, denormalise(chosen.submission, "prediction")
