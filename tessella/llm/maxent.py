@@ -24,7 +24,7 @@ from tessella.llm.wordids import join
 from tessella.session import cut_lineage, scratch_path
 
 CLASSES, MEMBERS = 64, 64        # the last class holds all words without a place of their own
-ROWS = 1 << 16                   # hashed rows of weights for classes, and as many for words
+ROWS = 1 << 15                   # hashed rows of weights for classes, and as many for words
 SHARDS = 32                      # parts of the rows whose gradients are added apart
 ROUNDS = 5                       # gradient steps; each has twice the texts of the one before, together all of them
 STEP, DAMP = 0.6, 2.0            # length of a step, and observations that it takes to believe a gradient
@@ -206,7 +206,9 @@ class Model:
         """Each weight by its gradient over what a count of its size can vary: bounded, and alike at every size."""
         for weights, (slope, met), base in ((self.classes, gradient.classes, np.exp(self.of_class)),
                                             (self.words, gradient.words, np.float32(1 / MEMBERS))):
-            weights += STEP * slope / (met[:, None] * base + np.abs(slope) + DAMP)
+            for rows in np.split(np.arange(ROWS), SHARDS):  # a part at a time: the driver holds the model, not copies of it
+                part = slope[rows]
+                weights[rows] += STEP * part / (met[rows, None] * base + np.abs(part) + DAMP)
 
 
 class Gradient:
