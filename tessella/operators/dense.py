@@ -4,24 +4,38 @@ One task has a block of target entities, a block of possible neighbours and the
 similarity sums of the two blocks over slices of the other axis, and scores the wanted pairs with them at once: no
 similarity leaves the task and no table of pairs is written. Only targets of wanted pairs take part as targets.
 
+One block is scored as it is. Otherwise ratings travel as a row of arrays for each entity, and the two sides are cut apart:
+neighbours into as few blocks as fit a task (``NEAR_CELLS``, counted), targets into as many as keep the cores at work. Each
+side is sent once for each block of the other, so its copies follow the cores and not the number of entities.
+
 With one block of neighbours a pair is final where it is made, its best ``k`` neighbours included. With several, a first
 pass adds up each pair's neighbours over the blocks, and a second one ranks only for pairs that have more than ``k``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
+from functools import reduce
+from operator import iadd
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .tiles import Grid, _dense, _named
+from .tiles import Grid, _dense
 
 SLICE = 4096          # ids of the other axis whose cells are dense at once
 BLOCK_CELLS = 2_000_000  # cells of a block; beyond that the chunked tiles do the work
+NEAR_CELLS = 6_000_000  # cells of the possible neighbours that one task holds as arrays
+STRIP_CELLS = 6_000_000  # similarities of a strip of targets to all neighbours of a block
+CHUNK = 2048          # neighbours whose sums are made at once
+ROUNDS = 2            # blocks of targets for each core
+EXACT = 1 << 24       # whole numbers below this are exact in single precision
 FLAT = 1e-12
 Sums = dict[str, np.ndarray]
 Similarity = Callable[[Sums], tuple[np.ndarray, np.ndarray]]
@@ -29,19 +43,28 @@ Similarity = Callable[[Sums], tuple[np.ndarray, np.ndarray]]
 
 def pearson(s: Sums, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Pearson correlation over common raters, where it is positive; 0 with fewer than ``least`` or without spread."""
-    vi, vj = s["n"] * s["sii"] - s["si"] ** 2, s["n"] * s["sjj"] - s["sj"] ** 2
-    good = (s["n"] >= least) & (vi >= FLAT) & (vj >= FLAT)
-    w = np.zeros_like(vi)
-    w[good] = (s["n"] * s["sij"] - s["si"] * s["sj"])[good] / np.sqrt(vi[good] * vj[good])
-    return np.maximum(w, 0.0), w > 0
+    vi, vj = s["n"] * s["sii"] - s["si"] * s["si"], s["n"] * s["sjj"] - s["sj"] * s["sj"]
+    bad = (s["n"] < least) | (vi < FLAT) | (vj < FLAT)
+    return _positive(s["n"] * s["sij"] - s["si"] * s["sj"], vi, vj, bad)
 
 
 def shrunk(s: Sums, least: int, shrinkage: float) -> tuple[np.ndarray, np.ndarray]:
     """Correlation of residuals about zero, times (n - 1) / (n - 1 + shrinkage), where it is positive."""
-    good = (s["n"] >= least) & (s["sii"] >= FLAT) & (s["sjj"] >= FLAT)
-    w, more = np.zeros_like(s["n"]), s["n"][good] - 1
-    w[good] = more / (more + shrinkage) * (s["sij"][good] / np.sqrt(s["sii"][good] * s["sjj"][good]))
-    return np.maximum(w, 0.0), w > 0
+    bad = (s["n"] < max(least, 2)) | (s["sii"] < FLAT) | (s["sjj"] < FLAT)
+    w, linked = _positive(s["sij"], s["sii"], s["sjj"], bad)
+    more = np.maximum(s["n"].astype(np.float64) - 1, 1)
+    return more / (more + shrinkage) * w, linked
+
+
+def _positive(over: np.ndarray, vi: np.ndarray, vj: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """over / sqrt(vi * vj) in double precision where it is positive and not ``bad``, else 0."""
+    w = np.multiply(vi, vj, dtype=np.float64)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        np.sqrt(w, out=w)
+        np.divide(over, w, out=w)
+    w[bad] = 0.0
+    np.maximum(w, 0.0, out=w)
+    return w, w > 0
 
 
 def fits(ratings: DataFrame, entity: str, grid: Grid) -> bool:
@@ -64,10 +87,10 @@ def _sums(left: pd.DataFrame, right: pd.DataFrame, ia: np.ndarray, ib: np.ndarra
     return out
 
 
-def _scored(pdf: pd.DataFrame, similarity: Similarity, k: int | None, ranked: bool) -> pd.DataFrame:
+def _scored(pdf: pd.DataFrame, similarity: Similarity, k: int) -> pd.DataFrame:
     kind = pdf["kind"].to_numpy()
     left, right, pair = pdf[kind == 0], pdf[kind == 1], pdf[kind == 2]
-    columns = ["g", "e", "o", "nb", "w", "x"] if ranked else ["g", "e", "o", "num", "den", "cnt"]
+    columns = ["e", "o", "num", "den"]
     if not len(left) or not len(right) or not len(pair):
         return pd.DataFrame({c: [] for c in columns})
     right = right[np.isin(right["o"].to_numpy(), pair["o"].to_numpy()) | np.isin(right["o"].to_numpy(), left["o"].to_numpy())]
@@ -88,44 +111,213 @@ def _scored(pdf: pd.DataFrame, similarity: Similarity, k: int | None, ranked: bo
         x, m = _dense(*at, cell["x"].to_numpy(), ib, os), _dense(*at, np.ones(len(cell)), ib, os)
         r, c = np.searchsorted(ia, asked["e"].to_numpy()), np.searchsorted(os, asked["o"].to_numpy())
         num, den, cnt = (v[r, c] for v in (w @ x, w @ m, linked.astype(float) @ m))
-        over = np.flatnonzero(cnt > k) if k is not None else np.zeros(0, np.int64)
-        best = []
-        for t in np.unique(r[over] if not ranked else r):
+        over = np.flatnonzero(cnt > k)
+        for t in np.unique(r[over]):
             row = np.flatnonzero(linked[t])
             row = row[np.lexsort((ib[row], -w[t, row]))]
-            mine = over[r[over] == t] if not ranked else np.flatnonzero(r == t)
+            mine = over[r[over] == t]
             rated = m[np.ix_(row, c[mine])] > 0
-            take = rated & (np.cumsum(rated, axis=0) <= k)
-            if ranked:
-                i, j = np.nonzero(take)
-                best.append(pd.DataFrame({"g": asked["g"].iat[0], "e": ia[t], "o": os[c[mine][j]], "nb": ib[row[i]], "w": w[t, row[i]],
-                                          "x": x[row[i], c[mine][j]]}))
-            else:
-                near = w[t, row][:, None] * take
-                num[mine], den[mine] = (near * x[np.ix_(row, c[mine])]).sum(0), near.sum(0)
-        if ranked:
-            out += best
-        else:
-            some = cnt > 0
-            out.append(pd.DataFrame({"g": asked["g"].to_numpy(), "e": asked["e"].to_numpy(), "o": asked["o"].to_numpy(), "num": num,
-                                     "den": den, "cnt": cnt.astype(np.int64)})[some])
+            near = w[t, row][:, None] * (rated & (np.cumsum(rated, axis=0) <= k))
+            num[mine], den[mine] = (near * x[np.ix_(row, c[mine])]).sum(0), near.sum(0)
+        some = cnt > 0
+        out.append(pd.DataFrame({"e": asked["e"].to_numpy(), "o": asked["o"].to_numpy(), "num": num, "den": den})[some])
     return pd.concat(out) if out else pd.DataFrame({c: [] for c in columns})
 
 
-def _tiles(pairs: DataFrame, cells: DataFrame, entity: str, other: str, grid: Grid) -> DataFrame:
-    """Targets, possible neighbours and wanted pairs of each tile (a, b) as one tagged table."""
+@dataclass
+class Cells:
+    """Ratings by entity: those of ``ids[i]`` are at ``first[i]`` to ``first[i + 1]``, ``o`` counts in the block's others."""
+
+    ids: np.ndarray
+    first: np.ndarray
+    o: np.ndarray
+    r: np.ndarray
+    x: np.ndarray
+
+    @staticmethod
+    def read(batches: Iterable[pa.RecordBatch]) -> tuple[Cells, Cells, Cells, np.ndarray]:
+        """Targets, neighbours and wanted pairs, and the others that neighbours have."""
+        parts: list[list[list]] = [[], [], []]
+        for batch in batches:
+            kind = batch.column("kind").to_numpy()
+            for n, part in enumerate(parts):
+                rows = batch.filter(pa.array(kind == n))
+                if rows.num_rows:
+                    part.append([rows.column("e").to_numpy(), pc.list_value_length(rows.column("o")).to_numpy(),
+                                 *(rows.column(c).flatten().to_numpy(zero_copy_only=False) for c in "orx")])
+        made = []
+        others = np.unique(np.concatenate([np.unique(p[2]) for p in parts[1]])) if parts[1] else np.zeros(0, np.int64)
+        for part in parts:
+            if not part:
+                made.append(Cells(*(np.zeros(0, np.int64),) * 2, np.zeros(0, np.int32), *(np.zeros(0),) * 2))
+                continue
+            e, size = (np.concatenate([p[c] for p in part]) for c in (0, 1))
+            order = np.argsort(e)
+            begin, size = (np.cumsum(size, dtype=np.int64) - size)[order], size[order]
+            first = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+            at = np.repeat(begin - first[:-1], size) + np.arange(first[-1])
+            columns = []
+            for c in (2, 3, 4):
+                v = np.concatenate([p[c] for p in part])
+                columns.append(v[at] if len(v) == len(at) else v)
+                for p in part:
+                    p[c] = None
+            o, r, x = columns
+            place = np.searchsorted(others, o).astype(np.int32)
+            place[place == len(others)] = 0
+            if len(others):
+                place[others[place] != o] = -1
+            made.append(Cells(e[order], first, place, r if len(r) else o, x))
+        return *made, others
+
+    def dense(self, lo: int, hi: int, column: np.ndarray, width: int, dtype: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Marks, values and squares of entities lo to hi in the chosen columns; ``column`` is -1 for others left out."""
+        a, b = self.first[lo], self.first[hi]
+        c = column[self.o[a:b]]
+        at = np.repeat(np.arange(hi - lo) * width, np.diff(self.first[lo:hi + 1])) + c
+        marks, values = np.zeros((hi - lo) * width, dtype), np.zeros((hi - lo) * width, dtype)
+        at, r = at[c >= 0], self.r[a:b][c >= 0]
+        marks[at], values[at] = 1, r
+        marks, values = marks.reshape(-1, width), values.reshape(-1, width)
+        return marks, values, values * values
+
+
+class Products(dict):
+    """Similarity sums of two sides, each made when it is asked for; a side is marks, values and squares by slice."""
+
+    SIDES = {"n": (0, 0), "si": (1, 0), "sj": (0, 1), "sii": (2, 0), "sjj": (0, 2), "sij": (1, 1)}
+
+    def __init__(self, left: list[tuple], right: list[tuple]):
+        super().__init__()
+        self.left, self.right = left, right
+
+    def __missing__(self, key: str) -> np.ndarray:
+        p, q = self.SIDES[key]
+        self[key] = reduce(iadd, (a[p] @ b[q].T for a, b in zip(self.left, self.right, strict=True)))
+        return self[key]
+
+
+def _exact_type(target: Cells, near: Cells) -> type:
+    """Single precision where every sum and every product of two sums is a whole number that it holds exactly."""
+    most = min(int(np.diff(c.first).max(initial=0)) for c in (target, near))
+    for c in (target, near):
+        if not np.array_equal(c.r, np.rint(c.r)):
+            return np.float64
+    top = max(float(np.abs(c.r).max(initial=1)) for c in (target, near))
+    return np.float32 if (most * top * top) ** 2 < EXACT else np.float64
+
+
+def _weights(target: Cells, near: Cells, lo: int, hi: int, n_others: int, similarity: Similarity, dtype: type) -> np.ndarray:
+    """Similarities of targets lo to hi to every neighbour; 0 for none and for the target itself."""
+    w = np.zeros((hi - lo, len(near.ids)))
+    mine = np.unique(target.o[target.first[lo]:target.first[hi]])
+    mine = mine[mine >= 0]
+    columns, left = [], []
+    for at in range(0, len(mine), SLICE):
+        column = np.full(n_others + 1, -1, np.int64)  # the last is for others that no neighbour has
+        os = mine[at:at + SLICE]
+        column[os] = np.arange(len(os))
+        columns.append((column, len(os)))
+        left.append(target.dense(lo, hi, column, len(os), dtype))
+    for at in range(0, len(near.ids) if columns else 0, CHUNK):
+        to = min(at + CHUNK, len(near.ids))
+        right = [near.dense(at, to, column, width, dtype) for column, width in columns]
+        w[:, at:to] = similarity(Products(left, right))[0]
+    place = np.searchsorted(near.ids, target.ids[lo:hi])
+    own = np.flatnonzero(near.ids[np.minimum(place, len(near.ids) - 1)] == target.ids[lo:hi])
+    w[own, place[own]] = 0.0
+    return w
+
+
+def _best(v: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest weights that are positive, in order of place; among equal ones the first count."""
+    at = np.flatnonzero(v > 0)
+    if len(at) <= k:
+        return at
+    v = v[at]
+    least = np.partition(v, len(v) - k)[len(v) - k]
+    at, v = at[v >= least], v[v >= least]
+    if len(at) > k:
+        ties = np.flatnonzero(v == least)
+        at = np.delete(at, ties[len(ties) - (len(at) - k):])
+    return at
+
+
+def _tile_scores(batches: Iterable[pa.RecordBatch], similarity: Similarity, k: int | None, ranked: bool,
+                 ids: tuple[pa.DataType, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """``_scored`` for rows of arrays: strips of targets against all neighbours, then each wanted pair over its raters."""
+    target, near, asked, others = Cells.read(batches)
+    if not len(others) or not len(target.ids):
+        return
+    order = np.argsort(near.o, kind="stable")
+    rater = np.repeat(np.arange(len(near.ids), dtype=np.int32), np.diff(near.first))[order]
+    x = near.x[order]
+    begin = np.concatenate([[0], np.cumsum(np.bincount(near.o, minlength=len(others)))])
+    near.x = x[:0]
+    del order
+    dtype = _exact_type(target, near)
+    at = np.searchsorted(asked.ids, target.ids)
+    strip = max(1, STRIP_CELLS // len(near.ids))
+    for lo in range(0, len(target.ids), strip):
+        hi = min(lo + strip, len(target.ids))
+        w = _weights(target, near, lo, hi, len(others), similarity, dtype)
+        got = []
+        for t in range(lo, hi):
+            mine = slice(asked.first[at[t]], asked.first[at[t] + 1])
+            for c, o in zip(asked.o[mine], asked.r[mine], strict=True):
+                if c < 0:
+                    continue
+                raters = rater[begin[c]:begin[c + 1]]
+                v = w[t - lo][raters]
+                best = _best(v, len(v) if k is None else k)
+                if len(best):
+                    v, z = v[best], x[begin[c]:begin[c + 1]][best]
+                    got.append((target.ids[t], o, near.ids[raters[best]], v, z) if ranked else
+                               (target.ids[t], o, v @ z, v.sum(), len(best)))
+        if not got:
+            continue
+        e, o, *rest = zip(*got, strict=True)
+        if ranked:
+            size = [len(v) for v in rest[0]]
+            e, o, rest = np.repeat(e, size), np.repeat(o, size), [np.concatenate(v) for v in rest]
+        names, types = (["nb", "w", "x"], [ids[0], pa.float64(), pa.float64()]) if ranked else (
+            ["num", "den", "cnt"], [pa.float64(), pa.float64(), pa.int64()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.asarray(v)).cast(t) for v, t in zip([e, o, *rest], [*ids, *types], strict=True)],
+                                         ["e", "o", *names])
+
+
+def _array_tiles(pairs: DataFrame, cells: DataFrame, entity: str, other: str, a: int, b: int) -> DataFrame:
+    """Targets, possible neighbours and wanted pairs as a row of arrays each; ``t`` numbers the tile of blocks a and b."""
+    e, cell = F.col(entity).alias("e"), F.struct(F.col(other).alias("o"), "r", "x")
+    both = F.col(entity).isNotNull() & F.col(other).isNotNull()  # a null meets nothing
+    rows = cells.where(both).groupBy(e).agg(F.collect_list(cell).alias("c"))
+    rows = rows.select("e", F.col("c.o").alias("o"), F.col("c.r").alias("r"), F.col("c.x").alias("x"))
+    wanted = pairs.where(both).groupBy(e).agg(F.collect_list(other).alias("o"))
+    none = F.array().cast("array<double>")
+    target, near, p = Grid(a, 1).block("e"), Grid(b, 1).block("e"), F.col("_p")
+
+    def shape(df, kind, r, x, tile):
+        return df.select(F.lit(kind).alias("kind"), "e", "o", r.alias("r"), x.alias("x"), tile.cast("int").alias("t"))
+
+    def to_each(df, n):
+        return df.withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+
+    asking = rows.join(wanted.select("e"), "e", "left_semi")
+    return (shape(to_each(asking, b), 0, F.col("r"), none, target * b + p)
+            .unionByName(shape(to_each(rows, a), 1, F.col("r"), F.col("x"), p * b + near))
+            .unionByName(shape(to_each(wanted, b), 2, none, none, target * b + p)))
+
+
+def _one_tile(pairs: DataFrame, cells: DataFrame, entity: str, other: str) -> DataFrame:
+    """Targets, possible neighbours and wanted pairs of the only tile as one tagged table."""
     none = F.lit(0.0)
     targets = cells.join(pairs.select(entity).distinct(), entity, "left_semi")
-    block, each = grid.block(entity), grid.every_block()
 
-    def shape(df, kind, r, x, a, b):
-        return df.select(F.lit(kind).alias("kind"), F.col(entity).alias("e"), F.col(other).alias("o"), r.alias("r"), x.alias("x"),
-                         a.alias("a"), b.alias("b"))
+    def shape(df, kind, r, x):
+        return df.select(F.lit(kind).alias("kind"), F.col(entity).alias("e"), F.col(other).alias("o"), r.alias("r"), x.alias("x"))
 
-    p = F.col("_p")
-    return (shape(targets.withColumn("_p", each), 0, F.col("r"), none, block, p)
-            .unionByName(shape(cells.withColumn("_p", each), 1, F.col("r"), F.col("x"), p, block))
-            .unionByName(shape(pairs.withColumn("_p", each), 2, none, none, block, p))).withColumn("g", F.lit(0))
+    return (shape(targets, 0, F.col("r"), none).unionByName(shape(cells, 1, F.col("r"), F.col("x")))
+            .unionByName(shape(pairs, 2, none, none))).withColumn("t", F.lit(0))
 
 
 def neighbour_scores(pairs: DataFrame, cells: DataFrame, entity: str, other: str, k: int, similarity: Similarity,
@@ -137,27 +329,35 @@ def neighbour_scores(pairs: DataFrame, cells: DataFrame, entity: str, other: str
     """
     types = dict(pairs.dtypes)
     ids = f"e {types[entity]}, o {types[other]}"
-    one = grid.blocks == 1
+    wanted = pairs.select(entity, other)
+    if grid.blocks == 1:
+        got = _one_tile(wanted, cells, entity, other).groupBy("t").applyInPandas(
+            lambda pdf: _scored(pdf, similarity, k), f"{ids}, num DOUBLE, den DOUBLE")
+        return got.withColumnsRenamed({"e": entity, "o": other})
+    arrow = tuple(pa.int32() if types[c] == "int" else pa.int64() for c in (entity, other))
+    near = max(1, -(-cells.count() // NEAR_CELLS))
+    targets = min(grid.blocks, ROUNDS * pairs.sparkSession.sparkContext.defaultParallelism)
 
     def run(asked: DataFrame, ranked: bool, schema: str) -> DataFrame:
-        tiled = _tiles(asked, cells, entity, other, grid)
-        dealt = tiled.repartition(grid.blocks ** 2, "a", "b") if not one else tiled
-        return dealt.groupBy("a", "b").applyInPandas(
-            lambda pdf: _scored(pdf, similarity, k if one or ranked else None, ranked), schema)
+        # a partition is a tile: hashed, some would hold several and others none
+        tiled = _array_tiles(asked, cells, entity, other, targets, near).repartitionById(targets * near, "t")
 
-    wanted = pairs.select(entity, other)
-    got = run(wanted, False, f"g INT, {ids}, num DOUBLE, den DOUBLE, cnt BIGINT")
-    if one:
-        return _named(got.drop("cnt"), entity, other, None)
-    total = got.groupBy("g", "e", "o").agg(*[F.sum(c).alias(c) for c in ("num", "den", "cnt")])
-    sums = cut_lineage(_named(total, entity, other, None))
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from _tile_scores(batches, similarity, k if near == 1 or ranked else None, ranked, arrow)
+
+        return tiled.groupBy("t").applyInArrow(score, schema)
+
+    got = run(wanted, False, f"{ids}, num DOUBLE, den DOUBLE, cnt BIGINT")
+    if near == 1:
+        return got.drop("cnt").withColumnsRenamed({"e": entity, "o": other})
+    total = got.groupBy("e", "o").agg(*[F.sum(c).alias(c) for c in ("num", "den", "cnt")])
+    sums = cut_lineage(total.withColumnsRenamed({"e": entity, "o": other}))
     over = sums.where(F.col("cnt") > k).select(entity, other)
     if over.isEmpty():
         return sums.drop("cnt")
-    nb = "nb INT" if types[entity] == "int" else "nb BIGINT"
-    near = run(over, True, f"g INT, {ids}, {nb}, w DOUBLE, x DOUBLE")
+    best = run(over, True, f"{ids}, nb {types[entity]}, w DOUBLE, x DOUBLE")
     place = F.row_number().over(Window.partitionBy("e", "o").orderBy(F.col("w").desc(), "nb"))
-    best = _named(near.withColumn("place", place).where(F.col("place") <= k).groupBy("g", "e", "o").agg(
-        F.sum(F.col("w") * F.col("x")).alias("top_num"), F.sum("w").alias("top_den")), entity, other, None)
+    best = best.withColumn("place", place).where(F.col("place") <= k).groupBy("e", "o").agg(
+        F.sum(F.col("w") * F.col("x")).alias("top_num"), F.sum("w").alias("top_den")).withColumnsRenamed({"e": entity, "o": other})
     return sums.join(best, [entity, other], "left").select(
         entity, other, F.coalesce("top_num", "num").alias("num"), F.coalesce("top_den", "den").alias("den"))

@@ -61,3 +61,46 @@ def test_an_empty_file_and_a_rule(spark):
     even = read_checked(spark, written(spark, ["1", "2", "3"]), "a INT", header=False, valid=F.col("a") % 2 == 0)
     assert [r.a for r in even.good.collect()] == [2] and even.n_bad == 2
     assert np.isclose(even.n_good, 1)
+
+
+@pytest.mark.parametrize("style,entity,k", [("means", "user", 4), ("baseline", "user", 9), ("zscore", "item", 3)])
+def test_several_blocks_of_neighbours_give_the_scores_of_one(split, monkeypatch, style, entity, k):
+    train, test = split
+    monkeypatch.setattr(dense, "SLICE", 7)
+    monkeypatch.setattr(dense, "CHUNK", 5)
+    monkeypatch.setattr(dense, "STRIP_CELLS", 60)
+    answers = []
+    for cells in (6_000_000, 200):
+        monkeypatch.setattr(dense, "NEAR_CELLS", cells)
+        model = Neighbours(k, entity, style, baselines=Baselines(1), grid=Grid(3, 1)).fit(train)
+        answers.append({(r.user, r.item): r.prediction for r in model.transform(test).collect()})
+    assert answers[0].keys() == answers[1].keys()
+    assert all(abs(answers[0][p] - answers[1][p]) < 1e-9 for p in answers[0])
+
+
+def test_sides_are_sent_by_cores_and_not_by_entities(spark):
+    """Each side used to travel once for every 512 entities of the other."""
+    cells = spark.range(6000).selectExpr("id % 600 as user", "id div 600 as item", "cast(pmod(hash(id), 5) as double) as r", "cast(id % 3 as double) as x")
+    pairs = spark.range(600).selectExpr("id as user", "id % 10 as item")
+    got = dense.neighbour_scores(pairs, cells, "user", "item", 3, lambda s: dense.pearson(s, 2), Grid(300, 1))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    n = dense.ROUNDS * spark.sparkContext.defaultParallelism
+    assert plan.count("repartition_by_num".upper()) == 1 and f", {n})" in plan and "FlatMapGroupsInArrow" in plan
+    assert got.count() == 600
+
+
+def test_equal_weights_count_by_place():
+    assert list(dense._best(np.array([0.5, 0.0, 0.7, 0.5, -1.0, 0.5]), 3)) == [0, 2, 3]
+    assert list(dense._best(np.array([0.5, 0.0, 0.5]), 3)) == [0, 2]
+
+
+def test_rows_with_a_null_side_meet_nothing(spark):
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(6) for i in range(5)]
+    schema = "user bigint, item bigint, r double, x double"
+    answers = []
+    for more in ([], [(None, 1, 3.0, 1.0), (2, None, 4.0, 1.0)]):
+        cells = spark.createDataFrame([(u, i, r, r - 3) for u, i, r in rows if (u + i) % 4] + more, schema)
+        pairs = spark.createDataFrame([(u, i) for u, i, _ in rows if (u + i) % 4 == 0] + [m[:2] for m in more], "user bigint, item bigint")
+        got = dense.neighbour_scores(pairs, cells, "user", "item", 2, lambda s: dense.pearson(s, 2), Grid(2, 1))
+        answers.append({(r.user, r.item): (r.num, r.den) for r in got.collect()})
+    assert answers[0] and answers[0] == answers[1]
