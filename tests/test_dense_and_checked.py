@@ -104,3 +104,27 @@ def test_rows_with_a_null_side_meet_nothing(spark):
         got = dense.neighbour_scores(pairs, cells, "user", "item", 2, lambda s: dense.pearson(s, 2), Grid(2, 1))
         answers.append({(r.user, r.item): (r.num, r.den) for r in got.collect()})
     assert answers[0] and answers[0] == answers[1]
+
+
+def test_more_neighbours_than_raters_are_final_where_they_are_made(spark):
+    """Several blocks used to add up and then rank in a window over the best k of each block for each pair."""
+    rows = [(u, i, float((u * i + u) % 5 + 1)) for u in range(12) for i in range(6) if (u + i) % 3]
+    cells = spark.createDataFrame([(u, i, r, r - 3) for u, i, r in rows], "user bigint, item bigint, r double, x double")
+    pairs = spark.createDataFrame([(u, i) for u in range(12) for i in range(7) if not (u + i) % 3], "user bigint, item bigint")
+    got = dense.neighbour_scores(pairs, cells, "user", "item", 900, lambda s: dense.pearson(s, 2), Grid(4, 1))
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    held = {u: {i: r for v, i, r in rows if v == u} for u in range(12)}
+    want = {}
+    for u, i in pairs.collect():
+        num = den = 0.0
+        for v in range(12):
+            both = [i_ for i_ in held[u] if i_ in held[v]]
+            if v != u and i in held[v] and len(both) > 1:
+                a, b = (np.array([held[e][i_] for i_ in both]) for e in (u, v))
+                if a.std() > 0 and b.std() > 0 and np.corrcoef(a, b)[0, 1] > 1e-9:
+                    w = np.corrcoef(a, b)[0, 1]
+                    num, den = num + w * (held[v][i] - 3), den + w
+        if den:
+            want[u, i] = (num, den)
+    found = {(r.user, r.item): (r.num, r.den) for r in got.collect()}
+    assert want and found.keys() == want.keys() and all(np.allclose(found[p], want[p]) for p in want)
