@@ -8,6 +8,10 @@ One block is scored as it is. Otherwise ratings travel as a row of arrays for ea
 neighbours into as few blocks as fit a task (``NEAR_CELLS``, counted), targets into as many as keep the cores at work. Each
 side is sent once for each block of the other, so its copies follow the cores and not the number of entities.
 
+Whole ratings are added up exactly: three matrix products of packed numbers stand for six sums (``Digits``). A target's
+strongest neighbours are picked once, and its wanted pairs look for their ``k`` raters among them; a pair that finds fewer
+goes through all its raters.
+
 With one block of neighbours a pair is final where it is made, its best ``k`` neighbours included. With several, a first
 pass adds up each pair's neighbours over the blocks, and a second one ranks only for pairs that have more than ``k``.
 """
@@ -32,10 +36,14 @@ from .tiles import Grid, _dense
 SLICE = 4096          # ids of the other axis whose cells are dense at once
 BLOCK_CELLS = 2_000_000  # cells of a block; beyond that the chunked tiles do the work
 NEAR_CELLS = 6_000_000  # cells of the possible neighbours that one task holds as arrays
-STRIP_CELLS = 6_000_000  # similarities of a strip of targets to all neighbours of a block
-CHUNK = 2048          # neighbours whose sums are made at once
+STRIP_CELLS = 12_000_000  # similarities of a strip of targets to all neighbours of a block
+CHUNK = 256           # neighbours whose sums are made at once
 ROUNDS = 2            # blocks of targets for each core
 EXACT = 1 << 24       # whole numbers below this are exact in single precision
+EXACT_DOUBLE = 1 << 53  # and in double precision
+SAMPLE = 8            # places of a sample that a threshold is read from
+MARGIN = 2            # times the neighbours wanted that the strongest should hold
+WORTH = 4             # raters for each of the strongest, from which on looking those up is less work
 FLAT = 1e-12
 Sums = dict[str, np.ndarray]
 Similarity = Callable[[Sums], tuple[np.ndarray, np.ndarray]]
@@ -182,32 +190,86 @@ class Cells:
         return marks, values, values * values
 
 
+@dataclass(frozen=True)
+class Digits:
+    """How exact whole sums are added up: several as digits of one number, where their bounds let all fit.
+
+    A number is squares + ``squares`` * (marks + ``marks`` * values): two powers of two over the largest sums of squares
+    and of marks; values may be negative and come last. Without digits (``squares`` 0) each sum is a product of its own.
+    """
+
+    dtype: type
+    squares: int = 0
+    marks: int = 0
+
+    @staticmethod
+    def of(target: Cells, near: Cells) -> Digits:
+        """Single precision where every sum and every product of two sums is a whole number that it holds exactly."""
+        most = min(int(np.diff(c.first).max(initial=0)) for c in (target, near))
+        for c in (target, near):
+            if not np.array_equal(c.r, np.rint(c.r)):
+                return Digits(np.float64)
+        top = max(float(np.abs(c.r).max(initial=1)) for c in (target, near))
+        if not most * top * top < EXACT_DOUBLE:
+            return Digits(np.float64)
+        short = (most * top * top) ** 2 < EXACT
+        squares, marks = (1 << int(v).bit_length() for v in (most * top * top, most))
+        for dtype, exact in ((np.float32, EXACT), (np.float64, EXACT_DOUBLE)):
+            if (short or dtype is np.float64) and (most * top + 1) * squares * marks < exact:
+                return Digits(dtype, squares, marks)
+        return Digits(np.float32 if short else np.float64)
+
+    def left(self, side: tuple) -> tuple:
+        marks, values, squares = side
+        if self.squares:
+            squares += self.dtype(self.squares) * values
+        return marks, values, squares
+
+    def right(self, side: tuple) -> tuple:
+        marks, values, squares = side
+        if self.squares:
+            squares += self.dtype(self.squares) * marks
+            squares += self.dtype(self.squares * self.marks) * values
+        return marks, values, squares
+
+    def split(self, number: np.ndarray, digit: int) -> np.ndarray:
+        """What stands above ``digit``, a power of two; ``number`` keeps what is below."""
+        above = number * self.dtype(1 / digit)
+        np.floor(above, out=above)
+        number -= above * self.dtype(digit)
+        return above
+
+
 class Products(dict):
-    """Similarity sums of two sides, each made when it is asked for; a side is marks, values and squares by slice."""
+    """Similarity sums of two sides, each made when it is asked for; a side is marks, values and squares by slice.
+
+    With digits the left side's squares hold its values too, the right side's its marks and values.
+    """
 
     SIDES = {"n": (0, 0), "si": (1, 0), "sj": (0, 1), "sii": (2, 0), "sjj": (0, 2), "sij": (1, 1)}
 
-    def __init__(self, left: list[tuple], right: list[tuple]):
+    def __init__(self, left: list[tuple], right: list[tuple], digits: Digits):
         super().__init__()
-        self.left, self.right = left, right
+        self.left, self.right, self.digits = left, right, digits
+
+    def _product(self, p: int, q: int) -> np.ndarray:
+        return reduce(iadd, (a[p] @ b[q].T for a, b in zip(self.left, self.right, strict=True)))
 
     def __missing__(self, key: str) -> np.ndarray:
-        p, q = self.SIDES[key]
-        self[key] = reduce(iadd, (a[p] @ b[q].T for a, b in zip(self.left, self.right, strict=True)))
+        d = self.digits
+        if d.squares and key in ("n", "sj", "sjj"):
+            self["sjj"] = self._product(0, 2)
+            self["sj"] = d.split(self["sjj"], d.squares * d.marks)
+            self["n"] = d.split(self["sjj"], d.squares)
+        elif d.squares and key in ("si", "sii"):
+            self["sii"] = self._product(2, 0)
+            self["si"] = d.split(self["sii"], d.squares)
+        else:
+            self[key] = self._product(*self.SIDES[key])
         return self[key]
 
 
-def _exact_type(target: Cells, near: Cells) -> type:
-    """Single precision where every sum and every product of two sums is a whole number that it holds exactly."""
-    most = min(int(np.diff(c.first).max(initial=0)) for c in (target, near))
-    for c in (target, near):
-        if not np.array_equal(c.r, np.rint(c.r)):
-            return np.float64
-    top = max(float(np.abs(c.r).max(initial=1)) for c in (target, near))
-    return np.float32 if (most * top * top) ** 2 < EXACT else np.float64
-
-
-def _weights(target: Cells, near: Cells, lo: int, hi: int, n_others: int, similarity: Similarity, dtype: type) -> np.ndarray:
+def _weights(target: Cells, near: Cells, lo: int, hi: int, n_others: int, similarity: Similarity, digits: Digits) -> np.ndarray:
     """Similarities of targets lo to hi to every neighbour; 0 for none and for the target itself."""
     w = np.zeros((hi - lo, len(near.ids)))
     mine = np.unique(target.o[target.first[lo]:target.first[hi]])
@@ -218,11 +280,11 @@ def _weights(target: Cells, near: Cells, lo: int, hi: int, n_others: int, simila
         os = mine[at:at + SLICE]
         column[os] = np.arange(len(os))
         columns.append((column, len(os)))
-        left.append(target.dense(lo, hi, column, len(os), dtype))
+        left.append(digits.left(target.dense(lo, hi, column, len(os), digits.dtype)))
     for at in range(0, len(near.ids) if columns else 0, CHUNK):
         to = min(at + CHUNK, len(near.ids))
-        right = [near.dense(at, to, column, width, dtype) for column, width in columns]
-        w[:, at:to] = similarity(Products(left, right))[0]
+        right = [digits.right(near.dense(at, to, column, width, digits.dtype)) for column, width in columns]
+        w[:, at:to] = similarity(Products(left, right, digits))[0]
     place = np.searchsorted(near.ids, target.ids[lo:hi])
     own = np.flatnonzero(near.ids[np.minimum(place, len(near.ids) - 1)] == target.ids[lo:hi])
     w[own, place[own]] = 0.0
@@ -243,6 +305,27 @@ def _best(v: np.ndarray, k: int) -> np.ndarray:
     return at
 
 
+def _strongest(row: np.ndarray, many: float) -> np.ndarray:
+    """Places of all weights from a threshold on that about ``many`` reach, read off an even sample; all are positive."""
+    step = max(1, int(many) // SAMPLE)
+    some = row[::step]
+    at = min(len(some), max(1, int(many) // step))
+    least = np.partition(some, len(some) - at)[len(some) - at]
+    return np.flatnonzero(row >= least if least > 0 else row > 0)
+
+
+def _among(row: np.ndarray, strong: np.ndarray, raters: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
+    """``_best`` of ``row[raters]`` from the strongest entities alone; where fewer than k of them are raters, from all raters.
+
+    ``place`` has the place of each rater, and anything for other entities.
+    """
+    at = np.minimum(place[strong], len(raters) - 1)
+    at = at[raters[at] == strong]
+    if len(at) < k:
+        return _best(row[raters], k)
+    return at[_best(row[raters[at]], k)]
+
+
 def _tile_scores(batches: Iterable[pa.RecordBatch], similarity: Similarity, k: int | None, ranked: bool,
                  ids: tuple[pa.DataType, pa.DataType]) -> Iterator[pa.RecordBatch]:
     """``_scored`` for rows of arrays: strips of targets against all neighbours, then each wanted pair over its raters."""
@@ -255,25 +338,36 @@ def _tile_scores(batches: Iterable[pa.RecordBatch], similarity: Similarity, k: i
     begin = np.concatenate([[0], np.cumsum(np.bincount(near.o, minlength=len(others)))])
     near.x = x[:0]
     del order
-    dtype = _exact_type(target, near)
+    digits = Digits.of(target, near)
+    place = np.zeros(len(near.ids), np.int32)
     at = np.searchsorted(asked.ids, target.ids)
     strip = max(1, STRIP_CELLS // len(near.ids))
     for lo in range(0, len(target.ids), strip):
         hi = min(lo + strip, len(target.ids))
-        w = _weights(target, near, lo, hi, len(others), similarity, dtype)
+        w = _weights(target, near, lo, hi, len(others), similarity, digits)
+        many = [slice(asked.first[n], asked.first[n + 1]) for n in at[lo:hi]]
+        row = np.repeat(np.arange(hi - lo), [m.stop - m.start for m in many])
+        wanted, names = (np.concatenate([v[m] for m in many]) for v in (asked.o, asked.r))
+        # so many of the strongest neighbours should hold k raters of an item; worth it where its raters are many more
+        size = begin[wanted + 1] - begin[wanted]
+        many = MARGIN * ((k or 0) + SAMPLE) * len(near.ids) / np.maximum(size, 1)
+        listed = (wanted >= 0) & (many * WORTH < size) & (k is not None)
+        strong = {t: _strongest(w[t], many[listed & (row == t)].max()) for t in np.unique(row[listed])}
         got = []
-        for t in range(lo, hi):
-            mine = slice(asked.first[at[t]], asked.first[at[t] + 1])
-            for c, o in zip(asked.o[mine], asked.r[mine], strict=True):
-                if c < 0:
-                    continue
-                raters = rater[begin[c]:begin[c + 1]]
-                v = w[t - lo][raters]
-                best = _best(v, len(v) if k is None else k)
+        for c in np.unique(wanted[wanted >= 0]):
+            raters, value = rater[begin[c]:begin[c + 1]], x[begin[c]:begin[c + 1]]
+            mine = np.flatnonzero(wanted == c)
+            if listed[mine].any():
+                place[raters] = np.arange(len(raters))
+            for n in mine:
+                v = w[row[n]]
+                if listed[n]:
+                    best = _among(v, strong[row[n]], raters, place, k)
+                else:
+                    best = _best(v[raters], len(raters) if k is None else k)
                 if len(best):
-                    v, z = v[best], x[begin[c]:begin[c + 1]][best]
-                    got.append((target.ids[t], o, near.ids[raters[best]], v, z) if ranked else
-                               (target.ids[t], o, v @ z, v.sum(), len(best)))
+                    v, z, t = v[raters[best]], value[best], target.ids[lo + row[n]]
+                    got.append((t, names[n], near.ids[raters[best]], v, z) if ranked else (t, names[n], v @ z, v.sum(), len(best)))
         if not got:
             continue
         e, o, *rest = zip(*got, strict=True)

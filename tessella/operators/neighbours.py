@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -65,6 +66,13 @@ class Baselines:
         return rows.select(*pairs.columns, base.alias(out))
 
 
+def _middle(low: float | None, high: float | None) -> float:
+    """The whole number halfway between two ratings; 0 without any."""
+    if low is None or high is None or not math.isfinite(low + high):
+        return 0.0
+    return float(round((low + high) / 2))
+
+
 class Neighbours(Recommender):
     """k nearest neighbours among users or items.
 
@@ -96,10 +104,12 @@ class Neighbours(Recommender):
             x = F.col("rating") - F.col("base")
             cells = base.withColumns({"r": x, "x": x})
         else:
-            self.mu, self.sd = ratings.agg(F.avg("rating"), F.stddev_pop("rating")).first()
+            self.mu, self.sd, *ends = ratings.agg(F.avg("rating"), F.stddev_pop("rating"), F.min("rating"), F.max("rating")).first()
             rows = self.means.join_to(ratings, key)
             x = F.col("rating") - F.col(f"{key}_mean")
-            cells = rows.withColumns({"r": F.col("rating"), "x": x / self._scale() if self.style == "zscore" else x})
+            # correlations are those of the ratings themselves, from smaller sums
+            r = F.col("rating") - F.lit(_middle(*ends))
+            cells = rows.withColumns({"r": r, "x": x / self._scale() if self.style == "zscore" else x})
         self.cells = cut_lineage(cells.select("user", "item", "r", "x"))
         if not self.fused:
             self._link()

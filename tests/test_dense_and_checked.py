@@ -128,3 +128,49 @@ def test_more_neighbours_than_raters_are_final_where_they_are_made(spark):
             want[u, i] = (num, den)
     found = {(r.user, r.item): (r.num, r.den) for r in got.collect()}
     assert want and found.keys() == want.keys() and all(np.allclose(found[p], want[p]) for p in want)
+
+
+def side(rng, n, top, width=60):
+    m = (rng.random((n, width)) < 0.6).astype(float)
+    r = m * rng.integers(-top, top + 1, m.shape)
+    return dense.Cells(np.arange(n), np.concatenate([[0], np.cumsum(m.sum(1))]).astype(int), np.nonzero(m)[1], r[m > 0], r[m > 0])
+
+
+@pytest.mark.parametrize("top,dtype", [(2, np.float32), (9, np.float64), (2000, np.float64), (40_000, np.float64)])
+def test_whole_ratings_are_added_up_as_digits(monkeypatch, top, dtype):
+    """Six sums used to be six products; they are exact whatever fits into a number."""
+    rng = np.random.default_rng(3)
+    a, b = side(rng, 20, top), side(rng, 30, top)
+    digits = dense.Digits.of(a, b)
+    made, product = [], dense.Products._product
+    monkeypatch.setattr(dense.Products, "_product", lambda self, *pq: made.append(pq) or product(self, *pq))
+    column = np.arange(60)
+    left, right = a.dense(0, 20, column, 60, digits.dtype), b.dense(0, 30, column, 60, digits.dtype)
+    want = {k: left[p].astype(float) @ right[q].astype(float).T for k, (p, q) in dense.Products.SIDES.items()}
+    got = dense.Products([digits.left(left)], [digits.right(right)], digits)
+    assert all(np.array_equal(got[k], want[k]) for k in ("sij", "si", "n", "sjj", "sii", "sj"))
+    assert digits.dtype is dtype and len(made) == (3 if digits.squares else 6) and bool(digits.squares) == (top < 10_000)
+
+
+def test_pairs_look_for_their_raters_among_the_strongest(spark, monkeypatch):
+    """Every pair used to pick its k neighbours from all raters of its item."""
+    cells = spark.range(30_000).selectExpr("id div 10 as user", "id % 10 as item", "cast(pmod(hash(id), 5) as double) as r", "cast(pmod(hash(id, 1), 7) as double) as x").where("pmod(hash(id, 2), 3) > 0")
+    pairs = spark.range(60).selectExpr("id * 50 as user", "id % 10 as item")
+    tile = dense._array_tiles(pairs, cells, "user", "item", 1, 1).drop("t").toArrow().to_batches()
+    answers, seen, best = [], [], dense._best
+    monkeypatch.setattr(dense, "_best", lambda v, k: seen.append(len(v)) or best(v, k))
+    for worth in (dense.WORTH, 1 << 40):
+        monkeypatch.setattr(dense, "WORTH", worth)
+        got = dense._tile_scores(iter(tile), lambda s: dense.pearson(s, 2), 3, False, (dense.pa.int64(), dense.pa.int64()))
+        answers.append(sorted(tuple(r.values()) for b in got for r in b.to_pylist()))
+        seen.append(None)
+    assert answers[0] == answers[1] and len(answers[0]) == 60
+    with_list, without = seen[:seen.index(None)], seen[seen.index(None) + 1:-1]
+    assert min(without) > 1500 and sum(with_list) < sum(without) / 4
+
+
+def test_too_few_raters_among_the_strongest():
+    row, raters, place = np.array([0.9, 0.8, 0.7, 0.3, 0.2, 0.1]), np.array([1, 3, 4, 5]), np.array([9, 0, 9, 1, 2, 3])
+    for strong in ([0, 1, 2], [0, 1, 2, 3], [0, 1, 2, 3, 4, 5], []):
+        assert list(dense._among(row, np.array(strong, int), raters, place, 2)) == [0, 1]
+    assert list(dense._strongest(np.array([0.0, 0.5, 0.0, 0.2]), 3)) == [1, 3]
