@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .lookup import Held
 from .tiles import Grid, _dense
 
 SLICE = 4096          # ids of the other axis whose cells are dense at once
@@ -44,6 +45,7 @@ EXACT_DOUBLE = 1 << 53  # and in double precision
 SAMPLE = 8            # places of a sample that a threshold is read from
 MARGIN = 2            # times the neighbours wanted that the strongest should hold
 WORTH = 4             # raters for each of the strongest, from which on looking those up is less work
+SMALL = 127           # whole ratings up to this travel as a byte
 FLAT = 1e-12
 Sums = dict[str, np.ndarray]
 Similarity = Callable[[Sums], tuple[np.ndarray, np.ndarray]]
@@ -143,8 +145,12 @@ class Cells:
     x: np.ndarray
 
     @staticmethod
-    def read(batches: Iterable[pa.RecordBatch]) -> tuple[Cells, Cells, Cells, np.ndarray]:
-        """Targets, neighbours and wanted pairs, and the others that neighbours have."""
+    def read(batches: Iterable[pa.RecordBatch], value: str = "x") -> tuple[Cells, Cells, Cells, np.ndarray]:
+        """Targets, neighbours and wanted pairs, and the others that neighbours have.
+
+        ``value`` names what a neighbour's averaged values come from: ``x`` its own array of them, ``r`` the ratings, or
+        ``units`` the ratings by the entity's shift and unit, two numbers in place of the array.
+        """
         parts: list[list[list]] = [[], [], []]
         for batch in batches:
             kind = batch.column("kind").to_numpy()
@@ -167,10 +173,17 @@ class Cells:
             columns = []
             for c in (2, 3, 4):
                 v = np.concatenate([p[c] for p in part])
-                columns.append(v[at] if len(v) == len(at) else v)
+                columns.append(v if c == 4 and value != "x" or len(v) != len(at) else v[at])
                 for p in part:
                     p[c] = None
             o, r, x = columns
+            del at
+            r = r.astype(np.float32) if r.dtype == np.int8 else r
+            if value == "r":
+                x = r.astype(np.float64)
+            elif len(x) and value == "units":
+                shift, unit = (np.repeat(v, size) for v in x.reshape(-1, 2)[order].T)
+                x = (r - shift) / unit
             place = np.searchsorted(others, o).astype(np.int32)
             place[place == len(others)] = 0
             if len(others):
@@ -181,10 +194,11 @@ class Cells:
     def dense(self, lo: int, hi: int, column: np.ndarray, width: int, dtype: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Marks, values and squares of entities lo to hi in the chosen columns; ``column`` is -1 for others left out."""
         a, b = self.first[lo], self.first[hi]
-        c = column[self.o[a:b]]
+        c, r = column[self.o[a:b]], self.r[a:b]
         at = np.repeat(np.arange(hi - lo) * width, np.diff(self.first[lo:hi + 1])) + c
         marks, values = np.zeros((hi - lo) * width, dtype), np.zeros((hi - lo) * width, dtype)
-        at, r = at[c >= 0], self.r[a:b][c >= 0]
+        if c.min(initial=0) < 0:
+            at, r = at[c >= 0], r[c >= 0]
         marks[at], values[at] = 1, r
         marks, values = marks.reshape(-1, width), values.reshape(-1, width)
         return marks, values, values * values
@@ -269,9 +283,10 @@ class Products(dict):
         return self[key]
 
 
-def _weights(target: Cells, near: Cells, lo: int, hi: int, n_others: int, similarity: Similarity, digits: Digits) -> np.ndarray:
-    """Similarities of targets lo to hi to every neighbour; 0 for none and for the target itself."""
-    w = np.zeros((hi - lo, len(near.ids)))
+def _weights(target: Cells, near: Cells, lo: int, hi: int, n_others: int, similarity: Similarity, digits: Digits,
+             room: np.ndarray) -> np.ndarray:
+    """Similarities of targets lo to hi to every neighbour, in ``room``; 0 for none and for the target itself."""
+    w = room[:hi - lo]
     mine = np.unique(target.o[target.first[lo]:target.first[hi]])
     mine = mine[mine >= 0]
     columns, left = [], []
@@ -281,6 +296,8 @@ def _weights(target: Cells, near: Cells, lo: int, hi: int, n_others: int, simila
         column[os] = np.arange(len(os))
         columns.append((column, len(os)))
         left.append(digits.left(target.dense(lo, hi, column, len(os), digits.dtype)))
+    if not columns:
+        w[:] = 0.0
     for at in range(0, len(near.ids) if columns else 0, CHUNK):
         to = min(at + CHUNK, len(near.ids))
         right = [digits.right(near.dense(at, to, column, width, digits.dtype)) for column, width in columns]
@@ -327,9 +344,9 @@ def _among(row: np.ndarray, strong: np.ndarray, raters: np.ndarray, place: np.nd
 
 
 def _tile_scores(batches: Iterable[pa.RecordBatch], similarity: Similarity, k: int | None, ranked: bool,
-                 ids: tuple[pa.DataType, pa.DataType]) -> Iterator[pa.RecordBatch]:
+                 ids: tuple[pa.DataType, pa.DataType], value: str = "x") -> Iterator[pa.RecordBatch]:
     """``_scored`` for rows of arrays: strips of targets against all neighbours, then each wanted pair over its raters."""
-    target, near, asked, others = Cells.read(batches)
+    target, near, asked, others = Cells.read(batches, value)
     if not len(others) or not len(target.ids):
         return
     order = np.argsort(near.o, kind="stable")
@@ -342,9 +359,10 @@ def _tile_scores(batches: Iterable[pa.RecordBatch], similarity: Similarity, k: i
     place = np.zeros(len(near.ids), np.int32)
     at = np.searchsorted(asked.ids, target.ids)
     strip = max(1, STRIP_CELLS // len(near.ids))
+    room = np.empty((min(strip, len(target.ids)), len(near.ids)))
     for lo in range(0, len(target.ids), strip):
         hi = min(lo + strip, len(target.ids))
-        w = _weights(target, near, lo, hi, len(others), similarity, digits)
+        w = _weights(target, near, lo, hi, len(others), similarity, digits, room)
         many = [slice(asked.first[n], asked.first[n + 1]) for n in at[lo:hi]]
         row = np.repeat(np.arange(hi - lo), [m.stop - m.start for m in many])
         wanted, names = (np.concatenate([v[m] for m in many]) for v in (asked.o, asked.r))
@@ -380,14 +398,51 @@ def _tile_scores(batches: Iterable[pa.RecordBatch], similarity: Similarity, k: i
                                          ["e", "o", *names])
 
 
-def _array_tiles(pairs: DataFrame, cells: DataFrame, entity: str, other: str, a: int, b: int) -> DataFrame:
-    """Targets, possible neighbours and wanted pairs as a row of arrays each; ``t`` numbers the tile of blocks a and b."""
-    e, cell = F.col(entity).alias("e"), F.struct(F.col(other).alias("o"), "r", "x")
+@dataclass(frozen=True)
+class Narrow:
+    """How many cells there are, and the smallest types that hold their others and ratings exactly."""
+
+    rows: int
+    low: int | None
+    high: int | None
+    other: str
+    rating: str
+
+    @staticmethod
+    def of(cells: DataFrame, other: str) -> Narrow:
+        r = F.col("r")
+        found = cells.agg(F.count(F.lit(1)).alias("n"), F.min(other).alias("low"), F.max(other).alias("high"), F.min("r").alias("least"),
+                          F.max("r").alias("most"), F.count_if(r != F.rint(r)).alias("parts"),
+                          F.count_if(r != r.cast("float").cast("double")).alias("long")).first()
+        kind = dict(cells.dtypes)[other]
+        if found["low"] is not None:
+            kind = next((t for t, bits in (("tinyint", 7), ("smallint", 15), ("int", 31))
+                         if -(1 << bits) <= found["low"] and found["high"] < 1 << bits), kind)
+        small = found["least"] is not None and -SMALL <= found["least"] and found["most"] <= SMALL and not found["parts"]
+        rating = "tinyint" if small else "double" if found["long"] else "float"
+        return Narrow(found["n"], found["low"], found["high"], kind, rating)
+
+
+def _array_tiles(pairs: DataFrame, cells: DataFrame, entity: str, other: str, a: int, b: int, narrow: Narrow | None = None,
+                 units: Held | None = None) -> DataFrame:
+    """Targets, possible neighbours and wanted pairs as a row of arrays each; ``t`` numbers the tile of blocks a and b.
+
+    Arrays are of the types in ``narrow``. A neighbour's ``x`` are those of its cells, or its shift and unit in ``units``
+    (once for an entity), or none if the cells have none.
+    """
+    narrow = narrow or Narrow.of(cells, other)
+    e, own = F.col(entity).alias("e"), "x" in cells.columns
+    cell = F.struct(F.col(other).cast(narrow.other).alias("o"), F.col("r").cast(narrow.rating).alias("r"), *["x"] * own)
     both = F.col(entity).isNotNull() & F.col(other).isNotNull()  # a null meets nothing
     rows = cells.where(both).groupBy(e).agg(F.collect_list(cell).alias("c"))
-    rows = rows.select("e", F.col("c.o").alias("o"), F.col("c.r").alias("r"), F.col("c.x").alias("x"))
-    wanted = pairs.where(both).groupBy(e).agg(F.collect_list(other).alias("o"))
     none = F.array().cast("array<double>")
+    rows = rows.select("e", F.col("c.o").alias("o"), F.col("c.r").alias("r"), *[F.col("c.x").alias("x")] * own)
+    valued = rows if own else rows.withColumn("x", none)
+    if units is not None:
+        valued = rows.join(units.df.select(e, F.array("shift", "unit").alias("x")), "e")
+    # others that no cell has meet nothing, and may not fit the type
+    wanted = pairs.where(both & F.col(other).between(narrow.low, narrow.high)).groupBy(e).agg(
+        F.collect_list(F.col(other).cast(narrow.other)).alias("o"))
     target, near, p = Grid(a, 1).block("e"), Grid(b, 1).block("e"), F.col("_p")
 
     def shape(df, kind, r, x, tile):
@@ -398,8 +453,8 @@ def _array_tiles(pairs: DataFrame, cells: DataFrame, entity: str, other: str, a:
 
     asking = rows.join(wanted.select("e"), "e", "left_semi")
     return (shape(to_each(asking, b), 0, F.col("r"), none, target * b + p)
-            .unionByName(shape(to_each(rows, a), 1, F.col("r"), F.col("x"), p * b + near))
-            .unionByName(shape(to_each(wanted, b), 2, none, none, target * b + p)))
+            .unionByName(shape(to_each(valued, a), 1, F.col("r"), F.col("x"), p * b + near))
+            .unionByName(shape(to_each(wanted, b), 2, F.array().cast(f"array<{narrow.rating}>"), none, target * b + p)))
 
 
 def _one_tile(pairs: DataFrame, cells: DataFrame, entity: str, other: str) -> DataFrame:
@@ -414,30 +469,44 @@ def _one_tile(pairs: DataFrame, cells: DataFrame, entity: str, other: str) -> Da
             .unionByName(shape(pairs, 2, none, none))).withColumn("t", F.lit(0))
 
 
+def with_values(cells: DataFrame, entity: str, units: Held | None) -> DataFrame:
+    """Cells with ``x``, see ``neighbour_scores``."""
+    if "x" in cells.columns:
+        return cells
+    if units is None:
+        return cells.withColumn("x", F.col("r"))
+    x = (F.col("r") - F.col("shift")) / F.col("unit")
+    return units.join_to(cells, entity).select(*cells.columns, x.alias("x"))
+
+
 def neighbour_scores(pairs: DataFrame, cells: DataFrame, entity: str, other: str, k: int, similarity: Similarity,
-                     grid: Grid) -> DataFrame:
+                     grid: Grid, units: Held | None = None) -> DataFrame:
     """``entity, other, num, den``: sums of w * x and of w over the k nearest neighbours that rated a pair's other side.
 
-    ``cells`` has ``r``, from which similarities are made, and ``x``, which is averaged. Ties go to the smaller id. Pairs
+    ``cells`` has ``r``, from which similarities are made, and ``x``, which is averaged. Without ``x`` it is
+    (r - shift) / unit by ``units``, a row for each entity with a value, or ``r`` itself. Ties go to the smaller id. Pairs
     without a neighbour are absent.
     """
     types = dict(pairs.dtypes)
     ids = f"e {types[entity]}, o {types[other]}"
     wanted = pairs.select(entity, other)
+    value = "x" if "x" in cells.columns else "r" if units is None else "units"
     if grid.blocks == 1:
+        cells = with_values(cells, entity, units)
         got = _one_tile(wanted, cells, entity, other).groupBy("t").applyInPandas(
             lambda pdf: _scored(pdf, similarity, k), f"{ids}, num DOUBLE, den DOUBLE")
         return got.withColumnsRenamed({"e": entity, "o": other})
     arrow = tuple(pa.int32() if types[c] == "int" else pa.int64() for c in (entity, other))
-    near = max(1, -(-cells.count() // NEAR_CELLS))
+    narrow = Narrow.of(cells, other)
+    near = max(1, -(-narrow.rows // NEAR_CELLS))
     targets = min(grid.blocks, ROUNDS * pairs.sparkSession.sparkContext.defaultParallelism)
 
     def run(asked: DataFrame, ranked: bool, schema: str) -> DataFrame:
         # a partition is a tile: hashed, some would hold several and others none
-        tiled = _array_tiles(asked, cells, entity, other, targets, near).repartitionById(targets * near, "t")
+        tiled = _array_tiles(asked, cells, entity, other, targets, near, narrow, units).repartitionById(targets * near, "t")
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from _tile_scores(batches, similarity, k if near == 1 or ranked else None, ranked, arrow)
+            yield from _tile_scores(batches, similarity, k if near == 1 or ranked else None, ranked, arrow, value)
 
         return tiled.groupBy("t").applyInArrow(score, schema)
 

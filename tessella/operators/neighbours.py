@@ -101,16 +101,16 @@ class Neighbours(Recommender):
         if self.style == "baseline":
             self.baselines.fit(ratings)
             base = self.baselines.attach(ratings)
-            x = F.col("rating") - F.col("base")
-            cells = base.withColumns({"r": x, "x": x})
+            cells, self.units = base.withColumn("r", F.col("rating") - F.col("base")), None
         else:
             self.mu, self.sd, *ends = ratings.agg(F.avg("rating"), F.stddev_pop("rating"), F.min("rating"), F.max("rating")).first()
-            rows = self.means.join_to(ratings, key)
-            x = F.col("rating") - F.col(f"{key}_mean")
             # correlations are those of the ratings themselves, from smaller sums
-            r = F.col("rating") - F.lit(_middle(*ends))
-            cells = rows.withColumns({"r": r, "x": x / self._scale() if self.style == "zscore" else x})
-        self.cells = cut_lineage(cells.select("user", "item", "r", "x"))
+            middle = F.lit(_middle(*ends))
+            cells = ratings.withColumn("r", F.col("rating") - middle)
+            unit = self._scale() if self.style == "zscore" else F.lit(1.0)
+            shift = (F.col(f"{key}_mean") - middle).alias("shift")
+            self.units = Held(self.means.df.select(key, shift, unit.alias("unit")), self.means.rows)
+        self.cells = cut_lineage(cells.select("user", "item", "r"))
         if not self.fused:
             self._link()
         ratings.unpersist()
@@ -136,13 +136,15 @@ class Neighbours(Recommender):
     def _sums(self, wanted: DataFrame) -> DataFrame:
         """num and den of each wanted pair's k nearest neighbours."""
         if self.fused:
-            return dense.neighbour_scores(wanted, self.cells, self.entity, self.other, self.k, self._similarity(), self.grid)
-        sums = neighbour_sums(wanted, self.cells, self.links, self.entity, self.other, "x", grid=self.grid)
+            return dense.neighbour_scores(wanted, self.cells, self.entity, self.other, self.k, self._similarity(), self.grid,
+                                          self.units)
+        cells = dense.with_values(self.cells, self.entity, self.units)
+        sums = neighbour_sums(wanted, cells, self.links, self.entity, self.other, "x", grid=self.grid)
         sums = cut_lineage(sums)
         over = sums.where(F.col("cnt") > self.k).select("user", "item")
         if not over.isEmpty():
             # only the pairs with more than k neighbours need them ranked
-            top = neighbour_top(over, self.cells, self.links, self.entity, self.other, "x", self.k, grid=self.grid)
+            top = neighbour_top(over, cells, self.links, self.entity, self.other, "x", self.k, grid=self.grid)
             best = top.groupBy("user", "item").agg(F.sum(F.col("w") * F.col("x")).alias("top_num"),
                                                    F.sum("w").alias("top_den"))
             sums = sums.join(best, ["user", "item"], "left").select(

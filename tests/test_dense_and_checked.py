@@ -174,3 +174,41 @@ def test_too_few_raters_among_the_strongest():
     for strong in ([0, 1, 2], [0, 1, 2, 3], [0, 1, 2, 3, 4, 5], []):
         assert list(dense._among(row, np.array(strong, int), raters, place, 2)) == [0, 1]
     assert list(dense._strongest(np.array([0.0, 0.5, 0.0, 0.2]), 3)) == [1, 3]
+
+
+@pytest.mark.parametrize("style,rating", [("means", "tinyint"), ("zscore", "tinyint"), ("baseline", "double")])
+def test_neighbours_travel_in_narrow_arrays_without_their_values(split, style, rating):
+    """Others, ratings and averaged values used to travel as eight bytes each."""
+    train, test = split
+    model = Neighbours(900, "user", style, baselines=Baselines(1), grid=Grid(3, 1)).fit(train)
+    assert model.cells.columns == ["user", "item", "r"]
+    tile = dense._array_tiles(test.select("user", "item"), model.cells, "user", "item", 2, 1, units=model.units)
+    assert {c: t for c, t in tile.dtypes if c in "orx"} == {"o": "array<tinyint>", "r": f"array<{rating}>", "x": "array<double>"}
+    assert {r.n for r in tile.where("kind = 1").selectExpr("size(x) as n").distinct().collect()} == {0 if style == "baseline" else 2}
+
+
+@pytest.mark.parametrize("item,unit,kinds", [(1, 1.0, ("tinyint", "tinyint")), (-5_000, 0.5, ("smallint", "float")),
+                                             (1 << 20, 0.1, ("int", "double")), (1 << 40, 200.0, ("bigint", "float"))])
+def test_narrow_types_hold_what_there_is(spark, item, unit, kinds):
+    """Scores by shift and unit are those of given values, and wanted others beyond the cells' range meet nothing."""
+    rows = [(u, i * item, unit * ((u * i + u) % 5 + 1)) for u in range(12) for i in range(1, 7) if (u + i) % 3]
+    plain = spark.createDataFrame(rows, "user bigint, item bigint, r double")
+    own = spark.createDataFrame([(u, 0.3 * u, u + 1.0) for u in range(12)], "user bigint, shift double, unit double")
+    own = dense.Held.of(own)
+    pairs = spark.createDataFrame([(u, i * item) for u in range(12) for i in (1, 2, 3, 9, 200, 1 << 18)] + [(None, item), (3, None)], "user bigint, item bigint")
+    narrow = dense.Narrow.of(plain, "item")
+    assert (narrow.rows, narrow.other, narrow.rating) == (len(rows), *kinds)
+    answers = []
+    for cells, units in ((plain, own), (dense.with_values(plain, "user", own), None)):
+        got = dense.neighbour_scores(pairs, cells, "user", "item", 3, lambda s: dense.pearson(s, 2), Grid(4, 1), units)
+        answers.append({(r.user, r.item): (r.num, r.den) for r in got.collect()})
+    assert answers[0] and answers[0] == answers[1]
+
+
+def test_ratings_that_are_no_numbers_keep_their_type(spark):
+    rows = [(u, 1, v) for u, v in enumerate((1.0, None, float("nan"), 2.0))]
+    assert dense.Narrow.of(spark.createDataFrame(rows, "user bigint, item bigint, r double"), "item").rating == "float"
+    none = spark.createDataFrame([], "user bigint, item bigint, r double")
+    assert dense.Narrow.of(none, "item") == dense.Narrow(0, None, None, "bigint", "float")
+    pairs = spark.createDataFrame([(1, 1)], "user bigint, item bigint")
+    assert dense.neighbour_scores(pairs, none.withColumn("x", F.col("r")), "user", "item", 3, lambda s: dense.pearson(s, 2), Grid(2, 1)).count() == 0
