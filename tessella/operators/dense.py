@@ -37,7 +37,7 @@ from .tiles import Grid, _dense
 SLICE = 4096          # ids of the other axis whose cells are dense at once
 BLOCK_CELLS = 2_000_000  # cells of a block; beyond that the chunked tiles do the work
 NEAR_CELLS = 6_000_000  # cells of the possible neighbours that one task holds as arrays
-STRIP_CELLS = 12_000_000  # similarities of a strip of targets to all neighbours of a block
+STRIP_CELLS = 24_000_000  # similarities of a strip of targets to all neighbours of a block
 CHUNK = 256           # neighbours whose sums are made at once
 ROUNDS = 2            # blocks of targets for each core
 EXACT = 1 << 24       # whole numbers below this are exact in single precision

@@ -1,5 +1,6 @@
 """Mean baselines."""
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators import means as mn
@@ -11,8 +12,11 @@ from . import query, r6
 
 
 def train_test(spark, sf):
-    """The 90 % split of every user's ratings, computed once for the jobs of a fit."""
-    return parts(cut_lineage(split_per_user(views.ratings(spark, sf))))
+    """The 90 % split of every user's ratings, computed once for the jobs of a fit; the events are read once for it."""
+    ratings = views.ratings(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    split = cut_lineage(split_per_user(ratings))
+    ratings.unpersist()
+    return parts(split)
 
 
 def shown(scored):

@@ -323,3 +323,14 @@ def test_all_twelve_models_run_and_blend(spark, split, monkeypatch):
     assert blend.subsets.count() == 4095
     assert final.count() == test.count()
     assert {r[0] for r in final.select("Prediction").distinct().collect()} <= {1, 2, 3, 4, 5}
+
+
+def test_a_split_reads_the_events_once(spark, sf, monkeypatch):
+    """Each pass of the split used to read the events and make the ratings anew."""
+    from tessella.queries import means
+
+    kept, split = [], means.split_per_user
+    monkeypatch.setattr(means, "split_per_user", lambda ratings: kept.append((ratings, ratings.storageLevel.useMemory)) or split(ratings))
+    train, test = means.train_test(spark, sf)
+    assert kept[0][1] and not kept[0][0].storageLevel.useMemory
+    assert train.count() + test.count() == kept[0][0].count()
