@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -126,8 +127,8 @@ class Neighbours(Recommender):
     def _similarity(self) -> dense.Similarity:
         least, shrinkage = self.least, self.shrinkage
         if self.style == "baseline":
-            return lambda s: dense.shrunk(s, least, shrinkage)
-        return lambda s: dense.pearson(s, least)
+            return partial(dense.shrunk, least=least, shrinkage=shrinkage)
+        return partial(dense.pearson, least=least)
 
     def _scale(self) -> Column:
         std = F.col(f"{self.entity}_std")
