@@ -554,6 +554,9 @@ class Search:
         digits = rough = Digits.of(target, near)
         most = min(int(np.diff(c.first).max(initial=0)) for c in (target, near))
         top = max(c.top for c in (target, near))
+        # Pearson correlations of other than whole ratings would lose too much in differences of sums
+        if not digits.exact and getattr(similarity, "func", None) is shrunk and most * top * top < ROUGH_TOP:
+            rough = Digits(np.float32)
         # the error of a sum is that of its terms' absolute sum, which is at most the root of both sums of squares
         close = ROUGH * (most + SAMPLE) if not digits.exact else ROUGH * SAMPLE
         return Search(target, near, n_others, similarity, k, drawn, digits, rough, close)
